@@ -1,0 +1,76 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quarry.functions.columns import bucket, classify_columns, row_sum
+from quarry.functions.text import jvm_trim, split_literal
+
+
+def java_split(s: str, d: str) -> list[str]:
+    """String.split with a literal one-char delimiter and limit 0."""
+    if s == "":
+        return [""]
+    parts = s.split(d)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_row_sum_left_to_right_and_empty(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, c double")
+    r = df.select(
+        row_sum(["a", "b", "c"]).alias("s"),
+        row_sum([F.col("a"), "c"], scale=2).alias("h"),
+        row_sum([]).alias("e"),
+    ).first()
+    assert (r.s, r.h, r.e) == (6.0, 2.0, 0.0)
+
+
+def test_bucket_first_rule_wins_and_null_stays_null(spark):
+    rules = [(lambda x: (x >= 15) & (x <= 22), "young"), (lambda x: (x >= 23) & (x <= 55), "active")]
+    df = spark.createDataFrame([(14.0,), (15.0,), (22.0,), (22.5,), (23.0,), (55.0,), (56.0,), (None,)], "a double")
+    got = [r.b for r in df.select(bucket("a", rules, "elder").alias("b")).collect()]
+    assert got == ["elder", "young", "young", "elder", "active", "active", "elder", None]
+
+
+def test_classify_columns_first_match_wins():
+    groups = [("needs", ("t01", "t1801")), ("work", ("t05", "t1805")), ("other", ("t02", "t18"))]
+    names = ["tucaseid", "t010101", "t180101", "t180501", "t180201", "t050101", "t020101", "t500101"]
+    out = classify_columns(names, groups)
+    assert out == {
+        "needs": ["t010101", "t180101"],
+        "work": ["t180501", "t050101"],
+        "other": ["t180201", "t020101"],
+    }
+
+
+@given(st.lists(st.text(alphabet="ab12", min_size=1, max_size=5), max_size=12))
+def test_classify_columns_property(names):
+    groups = [("g1", ("a", "b1")), ("g2", ("b",)), ("g3", ("1",))]
+    out = classify_columns(names, groups)
+    flat = [n for g in out.values() for n in g]
+    assert sorted(flat) == sorted(n for n in names if n.startswith(("a", "b", "1")))
+    for g, prefixes in groups:
+        assert all(n.startswith(prefixes) for n in out[g])
+        assert out[g] == [n for n in names if n in out[g]]
+
+
+def test_split_literal_cases(spark):
+    cases = ["a|b||", "", "||", "|a", "a", "a| b|c"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    got = [r.p for r in df.select(split_literal("s", "|").alias("p")).collect()]
+    assert got == [java_split(c, "|") for c in cases]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="x|,. \t", max_size=8), min_size=1, max_size=6))
+def test_split_literal_matches_java_split(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.p for r in df.select(split_literal("s", "|").alias("p")).collect()]
+    assert got == [java_split(t, "|") for t in texts]
+
+
+def test_jvm_trim_strips_all_blanks(spark):
+    df = spark.createDataFrame([(" \t a b \n\r",), ("\x01x\x1f",)], "s string")
+    got = [r.t for r in df.select(jvm_trim("s").alias("t")).collect()]
+    assert got == ["a b", "x"]

@@ -1,0 +1,65 @@
+import pytest
+
+from quarry.sources.csv import first_string_rest_double, read_headed_csv, read_lines
+from quarry.sources.kafka import kafka_sink_options, kafka_source_options
+from quarry.sources.records import parse_accounts, parse_persons
+
+HEADED = 'tucaseid,teage,telfs,t010101\n"20030100013280",60,2,870\n"20030100013344",41,1,920\n'
+
+
+def test_schema_from_header():
+    s = first_string_rest_double(["a", "b", "c"])
+    assert s.simpleString() == "struct<a:string,b:double,c:double>"
+    assert not any(f.nullable for f in s.fields)
+
+
+def test_read_headed_csv_quotes(spark, tmp_path):
+    p = tmp_path / "survey.csv"
+    p.write_text(HEADED)
+    cols, df = read_headed_csv(spark, str(p))
+    assert cols == ["tucaseid", "teage", "telfs", "t010101"]
+    assert [tuple(r) for r in df.collect()] == [("20030100013280", 60.0, 2.0, 870.0),
+                                                ("20030100013344", 41.0, 1.0, 920.0)]
+    _, kept = read_headed_csv(spark, str(p), keep_quotes=True)
+    assert kept.first().tucaseid == '"20030100013280"'
+
+
+def test_read_headed_csv_strict_and_lenient(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("id,a\nx,1\ny,abc\nz,\n")
+    _, strict = read_headed_csv(spark, str(p))
+    with pytest.raises(Exception):
+        strict.collect()
+    _, lenient = read_headed_csv(spark, str(p), strict=False)
+    rows = {r.id: r for r in lenient.collect()}
+    assert rows["x"].a == 1.0 and rows["y"]._corrupt_record == "y,abc"
+
+
+def test_parse_persons_and_accounts(spark, tmp_path):
+    pp = tmp_path / "person.csv"
+    pp.write_text("\ufeff1  ,Adam \t,54,126082\n17 , Bea,23,18000\n", encoding="utf-8")
+    persons = [tuple(r) for r in parse_persons(read_lines(spark, str(pp))).collect()]
+    assert persons == [("1", "Adam", 54, 126082), ("17", "Bea", 23, 18000)]
+    ap = tmp_path / "account.csv"
+    ap.write_text("1,100,SAVINGS,60700\n2,17 ,CREDIT,-23650\n")
+    accounts = [tuple(r) for r in parse_accounts(read_lines(spark, str(ap))).collect()]
+    assert accounts == [(1, "100", "SAVINGS", 60700), (2, "17", "CREDIT", -23650)]
+
+
+def test_unknown_account_type_fails(spark, tmp_path):
+    ap = tmp_path / "bad_account.csv"
+    ap.write_text("1,100,GOLD,5\n")
+    with pytest.raises(Exception, match="unknown account type"):
+        parse_accounts(read_lines(spark, str(ap))).collect()
+
+
+def test_kafka_options():
+    src = kafka_source_options("localhost:9092", "data-stream", "latest", "group-2")
+    assert src == {
+        "kafka.bootstrap.servers": "localhost:9092",
+        "subscribe": "data-stream",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "true",
+        "kafka.group.id": "group-2",
+    }
+    assert kafka_sink_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
