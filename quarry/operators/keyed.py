@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from quarry.operators.partitioning import spread
+
 # A lookup side is broadcast only when its row count is checked to be at
 # most this; above it the join is shuffled (and AQE may still re-plan).
 MAX_BROADCAST_ROWS = 1_000_000
@@ -28,9 +30,11 @@ def char_distribution(df: DataFrame, text_col: str, name: str = "n") -> DataFram
 
     The characters are exploded and counted in the same stage, so only one
     partial count per distinct character and task reaches the shuffle.
+    Few, large input partitions are spread over the cores first.
     """
     return (
-        df.select(characters(text_col).alias("ch"))
+        spread(df.select(text_col))
+        .select(characters(text_col).alias("ch"))
         .groupBy("ch")
         .agg(F.count(F.lit(1)).alias(name))
     )
@@ -38,7 +42,7 @@ def char_distribution(df: DataFrame, text_col: str, name: str = "n") -> DataFram
 
 def char_totals(df: DataFrame, text_col: str) -> DataFrame:
     """Total number of characters, counted (``count``) and as a sum of ones."""
-    return df.select(characters(text_col).alias("ch")).agg(
+    return spread(df.select(text_col)).select(characters(text_col).alias("ch")).agg(
         F.count(F.lit(1)).alias("total_chars"),
         F.sum(F.lit(1)).cast("long").alias("total_chars_ones"),
     )

@@ -7,44 +7,52 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import shared_dir
+from quarry.session import scratch_path
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
 def with_row_index(
-    df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index"
+    df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index",
+    path: str | None = None,
 ) -> DataFrame:
     """Append a contiguous 0-based index in the order of ``order_by``.
 
     Distributed: the frame is range-partitioned and sorted (a hot key is
-    split across partitions by the sort's sampled bounds), tagged with
-    ``monotonically_increasing_id`` and checkpointed to the shared folder,
-    so later recomputation cannot renumber it.  Per-partition counts (one
-    row per partition, a size bounded by the partition count) give
-    offsets, broadcast back onto the rows.  No step moves all rows to one
-    partition.  Ties in ``order_by`` are numbered in an arbitrary but
-    fixed order; pass a unique key for a reproducible index.
-
-    Materialises: runs the sort and checkpoint when called.
+    split across partitions by the sort's sampled bounds) and each row is
+    tagged with ``monotonically_increasing_id`` = (partition, position).
+    The tagged rows are written once as parquet under the shared folder
+    (``path``), which cuts the lineage: a lost executor cannot renumber
+    them.  Per-partition counts, read from the single tag column, give
+    offsets (one row per partition, a size bounded by the partition count)
+    that are broadcast back onto the rows.  No step moves all rows to one
+    partition, and the index depends only on stored values, not on the
+    order files are read back in.  Ties in ``order_by`` are numbered in an
+    arbitrary but fixed order; pass a unique key for a reproducible index.
+
+    Materialises: runs the sort and the write when called.
     """
-    shared_dir(df.sparkSession)
+    spark = df.sparkSession
+    location = path or scratch_path(spark, "row-index")
     cols = list(df.columns)
-    tagged = (
+    (
         df.orderBy(*order_by)
         .withColumn("_q_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    tagged = tagged.select(
-        *cols,
-        F.shiftright(F.col("_q_mid"), _POS_BITS).alias("_q_part"),
-        F.col("_q_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_q_pos"),
+        .write.mode("errorifexists")
+        .parquet(location)
     )
-    counts = tagged.groupBy("_q_part").agg(F.count(F.lit(1)).alias("_q_n"))
+    stored = spark.read.parquet(location)
+    part = F.shiftright(F.col("_q_mid"), _POS_BITS)
+    counts = stored.select(part.alias("_q_part")).groupBy("_q_part").agg(F.count(F.lit(1)).alias("_q_n"))
     before = Window.orderBy("_q_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_q_part", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_off")
     )
+    tagged = stored.select(
+        *cols,
+        part.alias("_q_part"),
+        F.col("_q_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_q_pos"),
+    )
     return tagged.join(F.broadcast(offsets), "_q_part").select(
         *cols, (F.col("_q_off") + F.col("_q_pos")).alias(name)
     )
