@@ -44,25 +44,31 @@ def parse_messages(df: DataFrame) -> DataFrame:
 def start_message_stream(
     spark: SparkSession,
     source_dir: str,
-    sink_dir: str,
+    sink_dir: str | None,
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str = "1 second",
     max_files_per_trigger: int | None = None,
+    sink_format: str = "parquet",
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream message files (parquet ``key, value``) from ``source_dir``,
-    parse them and append to parquet under ``sink_dir``.  Progress and
-    exactly-once bookkeeping live in ``checkpoint_dir``.  ``available_now``
-    processes what is there and stops; otherwise micro-batches run every
+    parse them and append them to a sink: ``parquet`` files under
+    ``sink_dir`` (exactly once, with the sink's own log), ``console``
+    (prints each micro-batch) or ``memory`` (table ``query_name``).
+    Progress lives in ``checkpoint_dir``.  ``available_now`` processes what
+    is there and stops; otherwise micro-batches run every
     ``processing_time``."""
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     parsed = parse_messages(reader.parquet(source_dir))
     writer = (
-        parsed.writeStream.format("parquet")
+        parsed.writeStream.format(sink_format)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
     )
+    if query_name:
+        writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start(sink_dir)
+    return writer.start(sink_dir) if sink_format == "parquet" else writer.start()

@@ -27,3 +27,17 @@ def test_stream_equals_batch(spark):
     q2 = start_message_stream(spark, src, sink, ckpt, available_now=True)
     q2.awaitTermination()
     assert spark.read.parquet(sink).count() == len(ROWS)
+
+
+def test_processing_time_trigger_memory_sink(spark):
+    df = spark.createDataFrame(ROWS, "millis long, n long, ip string")
+    src, ckpt = scratch_path(spark, "t-src2"), scratch_path(spark, "t-ckpt2")
+    format_messages(df, "millis", "n", "ip").write.parquet(src)
+    q = start_message_stream(spark, src, None, ckpt, available_now=False, processing_time="1 second",
+                             sink_format="memory", query_name="messages_mem_test")
+    try:
+        q.processAllAvailable()
+        got = sorted(tuple(r) for r in spark.table("messages_mem_test").collect())
+    finally:
+        q.stop()
+    assert got == sorted((ip, m, n, "www.example.com", ip) for m, n, ip in ROWS)
