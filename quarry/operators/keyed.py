@@ -87,14 +87,30 @@ def lookup_penalty(
     lookup_value: str,
     min_key: int = 2,
     name: str = "total",
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """With ``m = lookup[i]`` (default 0): keep ``i > min_key``, take
-    ``(i - m) * m``, keep negative values and sum them per ``i``."""
-    m = lookup_with_default(df.select(key), key, lookup, lookup_key, lookup_value, 0, "_q_m")
-    step = m.where(F.col(key) > F.lit(min_key)).select(
-        key, ((F.col(key) - F.col("_q_m")) * F.col("_q_m")).alias("_q_v")
+    ``(i - m) * m``, keep negative values and sum them per ``i`` (integral
+    keys and values).
+
+    The value of a row depends on its key alone, so rows are first counted
+    per key (a partial aggregate, filter pushed below it); only the
+    distinct keys meet the lookup, and each key's sum is its value times
+    its row count.  A key holding a third of all rows never crosses the
+    join as rows.
+    """
+    counts = (
+        df.where(F.col(key) > F.lit(min_key))
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_q_n"))
+    )
+    m = lookup_with_default(
+        counts, key, lookup, lookup_key, lookup_value, 0, "_q_m", max_broadcast_rows
+    )
+    value = (F.col(key) - F.col("_q_m")) * F.col("_q_m")
+    return m.where(value < 0).select(
+        key, (value.cast("long") * F.col("_q_n")).alias(name)
     )
-    return sum_by_key(step.where(F.col("_q_v") < 0), key, "_q_v", name)
 
 
 def running_metrics(df: DataFrame, col: str) -> DataFrame:

@@ -27,8 +27,9 @@ def with_row_index(
     offsets (one row per partition, a size bounded by the partition count)
     that are broadcast back onto the rows.  No step moves all rows to one
     partition, and the index depends only on stored values, not on the
-    order files are read back in.  Ties in ``order_by`` are numbered in an
-    arbitrary but fixed order; pass a unique key for a reproducible index.
+    order files are read back in.  Ties in ``order_by`` are broken by the
+    rows' input position, so a heavily repeated key is still split over
+    many sorted partitions; pass a unique key for a reproducible index.
 
     Materialises: runs the sort and the write when called.
     """
@@ -36,7 +37,9 @@ def with_row_index(
     location = path or scratch_path(spark, "row-index")
     cols = list(df.columns)
     (
-        df.orderBy(*order_by)
+        df.withColumn("_q_in", F.monotonically_increasing_id())
+        .orderBy(*order_by, "_q_in")
+        .drop("_q_in")
         .withColumn("_q_mid", F.monotonically_increasing_id())
         .write.mode("errorifexists")
         .parquet(location)

@@ -3,6 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarry.operators.ordering import with_row_index
+from quarry.session import scratch_path
 
 
 def test_row_index_contiguous_across_partitions(spark):
@@ -21,3 +22,15 @@ def test_row_index_is_rank(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(parts)
     got = {r.k: r.idx for r in with_row_index(df, ["k"], "idx").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_row_index_splits_a_hot_tied_key(spark):
+    df = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("k"))
+    path = scratch_path(spark, "test-row-index")
+    out = with_row_index(df.repartition(6), ["k"], "idx", path=path)
+    rows = out.collect()
+    assert sorted(r.idx for r in rows) == list(range(6000))
+    assert all(r.idx < 4000 for r in rows if r.k == -1)
+    stored = spark.read.parquet(path).where(F.col("k") == -1)
+    sort_parts = stored.select(F.shiftright("_q_mid", 33).alias("p")).distinct().count()
+    assert sort_parts > 1
