@@ -7,13 +7,20 @@ large share of the rows is combined map-side and never gathered in one task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 
+# Functions of this module run inside Python tasks (mapInPandas); ship them
+# by value so executors do not need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def grouped_averages(
     df: DataFrame,
     keys: Sequence[str],
