@@ -21,3 +21,16 @@ def save_table(
     location = path or scratch_path(spark, "tables")
     df.write.format(fmt).mode(mode).option("path", location).saveAsTable(name)
     return spark.table(name)
+
+
+def create_table_as(
+    spark: SparkSession, name: str, select_sql: str, path: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """SQL form: ``CREATE TABLE name USING fmt LOCATION path AS <select_sql>``.
+
+    Fails with TABLE_OR_VIEW_ALREADY_EXISTS when the table exists.  The
+    files go to ``path``, by default a fresh folder under the shared folder.
+    """
+    location = path or scratch_path(spark, "tables")
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}' AS {select_sql}")
+    return spark.table(name)

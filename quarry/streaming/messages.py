@@ -72,3 +72,14 @@ def start_message_stream(
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start(sink_dir) if sink_format == "parquet" else writer.start()
+
+
+def kafka_messages(
+    spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "latest",
+    group_id: str | None = None,
+) -> DataFrame:
+    """Parsed messages of a Kafka topic as a streaming frame (needs the Kafka
+    connector on the classpath)."""
+    from quarry.sources.kafka import read_kafka_stream
+
+    return parse_messages(read_kafka_stream(spark, brokers, topic, starting_offsets, group_id))

@@ -60,6 +60,17 @@ def test_saved_table_fails_when_present(spark, events):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_create_table_as_sql(spark, events):
+    from quarry.operators.tables import create_table_as
+
+    name = "events_ctas_test"
+    t = create_table_as(spark, name, "SELECT * FROM trade_events_test")
+    assert t.count() == 13 and t.columns == ["trade_id", "product_id", "timestamp", "amount"]
+    with pytest.raises(AnalysisException, match="already exists|ALREADY_EXISTS"):
+        create_table_as(spark, name, "SELECT * FROM trade_events_test")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_bad_amount_fails(spark):
     lines = spark.createDataFrame([(0, "FWD,t,abc")], "line_no long, line string")
     with pytest.raises(Exception):
