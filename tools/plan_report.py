@@ -18,8 +18,9 @@ from quarry.session import local_session  # noqa: E402
 
 
 def final_plan(p: str) -> str:
-    """The final-plan part of an adaptive plan string."""
-    return p.split("== Initial Plan ==")[0]
+    """The final-plan part of an adaptive plan string, control characters escaped."""
+    p = p.split("== Initial Plan ==")[0]
+    return re.sub(r"[\x00-\x08\x0b-\x1f]", lambda m: f"\\x{ord(m.group()):02x}", p)
 
 
 def summarize(p: str) -> dict[str, str]:
