@@ -34,3 +34,22 @@ def create_table_as(
     location = path or scratch_path(spark, "tables")
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}' AS {select_sql}")
     return spark.table(name)
+
+
+def save_bucketed_table(
+    df: DataFrame, name: str, key: str, buckets: int, mode: str = "errorifexists",
+    path: str | None = None, fmt: str = "parquet",
+) -> DataFrame:
+    """Save ``df`` hash-bucketed (and sorted) by ``key`` into ``buckets`` files
+    per write task group.  Tables bucketed alike on the same key type are
+    co-located: aggregating or joining them on ``key`` needs no shuffle,
+    which is what a hash-partitioned pair join does once per run, written
+    down once for every later run."""
+    spark: SparkSession = df.sparkSession
+    location = path or scratch_path(spark, "tables")
+    (
+        df.write.format(fmt).mode(mode).option("path", location)
+        .bucketBy(buckets, key).sortBy(key)
+        .saveAsTable(name)
+    )
+    return spark.table(name)

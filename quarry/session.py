@@ -38,6 +38,32 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input on
+    ``total_cores`` executor cores (pass them to the session builder or
+    ``spark-submit --conf``).
+
+    Scan tasks read ~512 MB each; shuffles start with enough partitions for
+    ~512 MB of input each (partial aggregation makes most shuffles far
+    smaller) and AQE coalesces them toward 256 MB and splits skewed join
+    partitions.  Broadcasts stay at or below 64 MB of estimated size.
+    """
+    mb = 1024 * 1024
+    shuffle = max(2 * total_cores, min(200_000, input_bytes // (512 * mb)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * mb),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(512 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
     """Session for tests and the bench: AQE on, UI off, UTC."""
     return (

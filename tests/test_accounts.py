@@ -101,3 +101,29 @@ def test_positions_with_one_hot_person(spark):
     ids_pos = sorted((r.id, r.pos) for r in got.collect())
     hot_ids = sorted(i for i in range(3000) if i % 3)
     assert ids_pos == list(zip(hot_ids, range(len(hot_ids))))
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from quarry.operators.tables import save_bucketed_table
+    from quarry.plans import standins as S
+    from quarry.session import unique_name
+    from quarry.sources.tables import read_table
+
+    sf = "/root/testdata/sf0.001"
+    persons = save_bucketed_table(
+        S.persons_from_customer(read_table(spark, sf, "customer")), unique_name("persons_b"), "id", 8)
+    accounts = save_bucketed_table(
+        S.accounts_from_orders(read_table(spark, sf, "orders")), unique_name("accounts_b"), "person_id", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = A.person_accounts(persons, accounts)
+        p = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p
+        assert "Exchange" not in p
+        direct = A.person_accounts(
+            S.persons_from_customer(read_table(spark, sf, "customer")),
+            S.accounts_from_orders(read_table(spark, sf, "orders")),
+        )
+        assert sorted(tuple(r) for r in joined.collect()) == sorted(tuple(r) for r in direct.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

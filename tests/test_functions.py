@@ -74,3 +74,12 @@ def test_jvm_trim_strips_all_blanks(spark):
     df = spark.createDataFrame([(" \t a b \n\r",), ("\x01x\x1f",)], "s string")
     got = [r.t for r in df.select(jvm_trim("s").alias("t")).collect()]
     assert got == ["a b", "x"]
+
+
+def test_scale_conf_sizes():
+    from quarry.session import scale_conf
+
+    big = scale_conf(100 * 1024**4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000
+    small = scale_conf(10 * 1024**2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
