@@ -16,14 +16,27 @@ def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_FOLD_CHUNK = 32
+
+
+def _fold(terms: list[Column]) -> Column:
+    if len(terms) <= _FOLD_CHUNK:
+        return reduce(operator.add, terms)
+    chunks = [terms[i:i + _FOLD_CHUNK] for i in range(0, len(terms), _FOLD_CHUNK)]
+    return _fold([reduce(operator.add, c) for c in chunks])
+
+
 def row_sum(cols: Iterable[ColumnLike], scale: float | int | None = None) -> Column:
     """Sum a list of columns row by row, optionally divided by ``scale``.
 
-    Columns are added left to right in the given order.  An empty list sums
-    to ``0.0`` (a group with no member column contributes nothing).
+    Up to 32 columns are added left to right in the given order.  Longer
+    lists are added in left-to-right chunks of 32 whose sums are added the
+    same way, which keeps the expression tree shallow (a chain of hundreds
+    of additions overflows the analyzer's stack).  An empty list sums to
+    ``0.0`` (a group with no member column contributes nothing).
     """
     terms = [_col(c) for c in cols]
-    total = reduce(operator.add, terms) if terms else F.lit(0.0)
+    total = _fold(terms) if terms else F.lit(0.0)
     return total / F.lit(scale) if scale is not None else total
 
 

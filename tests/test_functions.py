@@ -83,3 +83,10 @@ def test_scale_conf_sizes():
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000
     small = scale_conf(10 * 1024**2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_row_sum_many_columns(spark):
+    n = 700
+    df = spark.createDataFrame([tuple(float(i % 7) for i in range(n))], ", ".join(f"c{i} double" for i in range(n)))
+    r = df.select(row_sum([f"c{i}" for i in range(n)], scale=60).alias("h")).first()
+    assert r.h == sum(float(i % 7) for i in range(n)) / 60
