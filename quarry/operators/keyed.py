@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from quarry.operators.partitioning import spread
 
-# A lookup side is broadcast only when its row count is checked to be at
-# most this; above it the join is shuffled (and AQE may still re-plan).
+# A lookup side is broadcast only when a bounded pass over it shows at most
+# this many rows and bytes; above either, the join is shuffled (and AQE may
+# still re-plan it from runtime sizes).
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def sum_by_key(df: DataFrame, key: str, value: str, name: str = "total") -> DataFrame:
@@ -48,11 +50,20 @@ def char_totals(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def _broadcast_if_small(lookup: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after checking the row count (an action on the
-    small side)."""
-    n = lookup.limit(max_rows + 1).count()
-    return F.broadcast(lookup) if n <= max_rows else lookup
+def _broadcast_if_small(
+    lookup: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Hint a broadcast only after checking size: one pass over at most
+    ``max_rows + 1`` rows counts them and adds up their bytes (the text
+    length of every column plus 16 per row)."""
+    size = sum(
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.columns),
+        F.lit(16),
+    )
+    n, nbytes = lookup.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))
+    ).first()
+    return F.broadcast(lookup) if n <= max_rows and nbytes <= max_bytes else lookup
 
 
 def lookup_with_default(
