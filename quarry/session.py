@@ -8,23 +8,28 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL_SHARED: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Return the shared folder the cluster names in ``spark.checkpoint.dir``.
 
     The setting is read from the session.  Only a local-mode session without
-    it (tests, notebooks) gets a folder of its own; a cluster session without
-    it is an error, because a machine-local folder is not visible to executors.
+    it (tests, notebooks) gets a folder of its own, created once per
+    application; a cluster session without it is an error, because a
+    machine-local folder is not visible to executors.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="quarry-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        base = _LOCAL_SHARED.get(sc.applicationId)
+        if base is None:
+            base = tempfile.mkdtemp(prefix="quarry-shared-")
+            _LOCAL_SHARED[sc.applicationId] = base
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
