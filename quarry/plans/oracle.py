@@ -141,6 +141,12 @@ SELECT * FROM persons p
 WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.person_id = p.id AND a.type = 'BROKER')""",
     "only_accounts_of_type": "WITH " + JOINED + """
 SELECT id, name, age, earnings FROM joined WHERE n_broker = n_accounts""",
+    "account_type_flags": "WITH " + JOINED + """
+SELECT id, n_savings > 0 AS has_savings, n_savings = n_accounts AS only_savings,
+       n_chequing > 0 AS has_chequing, n_chequing = n_accounts AS only_chequing,
+       n_credit > 0 AS has_credit, n_credit = n_accounts AS only_credit,
+       n_broker > 0 AS has_broker, n_broker = n_accounts AS only_broker
+FROM joined""",
     "balance_comparators": "WITH " + JOINED + """
 SELECT id,
        coalesce(first_broker_balance < 20000, false) AS lt,

@@ -163,6 +163,15 @@ def only_accounts_of_type(spark, d):
     return A.select_candidates(_joined(spark, d), A.only_accounts_of_type("BROKER")).select(*P.PERSON_COLS)
 
 
+def account_type_flags(spark, d):
+    """Per joined person and account type: has one (exists) / has only that type (forall)."""
+    flags = []
+    for t in A.ACCOUNT_TYPES:
+        flags.append(A.has_account_type(t).alias(f"has_{t.lower()}"))
+        flags.append(A.only_accounts_of_type(t).alias(f"only_{t.lower()}"))
+    return _joined(spark, d).select("id", *flags)
+
+
 COMPARATOR_MEASURE = 20000
 
 
@@ -302,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "has_account_semi": has_account_semi,
     "has_no_account_anti": has_no_account_anti,
     "only_accounts_of_type": only_accounts_of_type,
+    "account_type_flags": account_type_flags,
     "balance_comparators": balance_comparators,
     "age_bounds": age_bounds,
     "sum_by_key_combined": sum_by_key_combined,
