@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import with_row_index
+from quarry.operators.ordering import position_in_group
 
 # Fixed values of the accounts job: the account types, in declaration order.
 ACCOUNT_TYPES = ("SAVINGS", "CHEQUING", "CREDIT", "BROKER")
@@ -85,15 +85,11 @@ def person_accounts(persons: DataFrame, accounts: DataFrame) -> DataFrame:
 
 def account_positions(accounts: DataFrame) -> DataFrame:
     """Each account with ``pos``, its 0-based place in its person's list
-    ordered by account id (the exploded form of :func:`accounts_by_person`).
-
-    Computed without gathering: a global index over ``(person_id, id)``
-    minus the first index of the person.
-    """
-    indexed = with_row_index(accounts, ["person_id", "id"], "_g")
-    first = indexed.groupBy("person_id").agg(F.min("_g").alias("_f"))
-    return indexed.join(first, "person_id").select(
-        "person_id", (F.col("_g") - F.col("_f")).alias("pos"), "id", "type", "balance"
+    ordered by account id (the exploded form of :func:`accounts_by_person`),
+    computed without gathering a person's accounts
+    (:func:`quarry.operators.ordering.position_in_group`)."""
+    return position_in_group(accounts, "person_id", ["id"], "pos").select(
+        "person_id", "pos", "id", "type", "balance"
     )
 
 

@@ -12,30 +12,22 @@ from quarry.session import scratch_path
 _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def with_row_index(
-    df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index",
-    path: str | None = None,
+def sorted_tags(
+    df: DataFrame, order_by: Sequence[str | Column], path: str | None = None
 ) -> DataFrame:
-    """Append a contiguous 0-based index in the order of ``order_by``.
+    """``df`` in ``order_by`` order, written once as parquet under the shared
+    folder, with ``_q_part`` (sorted partition) and ``_q_pos`` (0-based place
+    inside it): the global order is ``(_q_part, _q_pos)``.
 
-    Distributed: the frame is range-partitioned and sorted (a hot key is
-    split across partitions by the sort's sampled bounds) and each row is
-    tagged with ``monotonically_increasing_id`` = (partition, position).
-    The tagged rows are written once as parquet under the shared folder
-    (``path``), which cuts the lineage: a lost executor cannot renumber
-    them.  Per-partition counts, read from the single tag column, give
-    offsets (one row per partition, a size bounded by the partition count)
-    that are broadcast back onto the rows.  No step moves all rows to one
-    partition, and the index depends only on stored values, not on the
-    order files are read back in.  Ties in ``order_by`` are broken by the
-    rows' input position, so a heavily repeated key is still split over
-    many sorted partitions; pass a unique key for a reproducible index.
+    The frame is range-partitioned and sorted; ties in ``order_by`` are
+    broken by input position, so a heavily repeated key is still split over
+    many partitions.  Writing the tags cuts the lineage: a lost executor
+    cannot renumber rows, and later steps depend only on stored values.
 
     Materialises: runs the sort and the write when called.
     """
     spark = df.sparkSession
     location = path or scratch_path(spark, "row-index")
-    cols = list(df.columns)
     (
         df.withColumn("_q_in", F.monotonically_increasing_id())
         .orderBy(*order_by, "_q_in")
@@ -45,22 +37,71 @@ def with_row_index(
         .parquet(location)
     )
     stored = spark.read.parquet(location)
-    part = F.shiftright(F.col("_q_mid"), _POS_BITS)
-    counts = stored.select(part.alias("_q_part")).groupBy("_q_part").agg(F.count(F.lit(1)).alias("_q_n"))
+    return stored.select(
+        *df.columns,
+        F.shiftright(F.col("_q_mid"), _POS_BITS).alias("_q_part"),
+        F.col("_q_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_q_pos"),
+    )
+
+
+def with_row_index(
+    df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index",
+    path: str | None = None,
+) -> DataFrame:
+    """Append a contiguous 0-based index in the order of ``order_by``.
+
+    Distributed: rows are sorted and tagged with (partition, position) by
+    :func:`sorted_tags`.  Per-partition counts, read from the tag column
+    only, give offsets (one row per partition, a size bounded by the
+    partition count) that are broadcast back onto the rows.  No step moves
+    all rows to one partition.  Ties in ``order_by`` are numbered in input
+    order; pass a unique key for a reproducible index.
+
+    Materialises: runs the sort and the write when called.
+    """
+    cols = list(df.columns)
+    tagged = sorted_tags(df, order_by, path)
+    counts = tagged.groupBy("_q_part").agg(F.count(F.lit(1)).alias("_q_n"))
     before = Window.orderBy("_q_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_q_part", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_off")
     )
-    tagged = stored.select(
-        *cols,
-        part.alias("_q_part"),
-        F.col("_q_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_q_pos"),
-    )
     return tagged.join(F.broadcast(offsets), "_q_part").select(
         *cols, (F.col("_q_off") + F.col("_q_pos")).alias(name)
     )
 
 
+def position_in_group(
+    df: DataFrame, group: str, order_by: Sequence[str | Column], name: str = "pos",
+    path: str | None = None,
+) -> DataFrame:
+    """Append the 0-based place of each row inside its ``group``, in
+    ``order_by`` order (the exploded form of a sorted list per group).
+
+    Computed without gathering a group: rows are sorted by
+    ``(group, *order_by)`` and tagged by :func:`sorted_tags`, so a group
+    spans a run of sorted partitions.  Per (partition, group) a partial
+    aggregate gives the first position and row count; a window over those
+    small rows (one per partition the group touches) gives the rows the
+    group has in earlier partitions.  The rows then join their
+    (partition, group) base, a key that never holds more than one sorted
+    partition, so a group with a third of all rows is spread over many tasks.
+    """
+    cols = list(df.columns)
+    tagged = sorted_tags(df, [group, *order_by], path)
+    runs = tagged.groupBy("_q_part", group).agg(
+        F.min("_q_pos").alias("_q_first"), F.count(F.lit(1)).alias("_q_n")
+    )
+    earlier = Window.partitionBy(group).orderBy("_q_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = runs.select(
+        "_q_part", group,
+        (F.coalesce(F.sum("_q_n").over(earlier), F.lit(0)) - F.col("_q_first")).alias("_q_base"),
+    )
+    return tagged.join(bases, ["_q_part", group]).select(
+        *cols, (F.col("_q_pos") + F.col("_q_base")).alias(name)
+    )
+
+
 def top_k_by_key(df: DataFrame, key: str, k: int, ascending: bool = True) -> DataFrame:
     """The ``k`` rows with the smallest (or largest) keys, sorted.
 

@@ -39,3 +39,20 @@ def test_row_index_splits_a_hot_tied_key(spark):
     stored = spark.read.parquet(path).where(F.col("k") == -1)
     sort_parts = stored.select(F.shiftright("_q_mid", 33).alias("p")).distinct().count()
     assert sort_parts > 1
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 10**6)), max_size=80, unique_by=lambda t: t[1]),
+       st.integers(1, 5))
+def test_position_in_group_is_rank_within_group(spark, rows, parts):
+    from quarry.operators.ordering import position_in_group
+
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "g string, v long").repartition(parts)
+    got = {(r.g, r.v): r.pos for r in position_in_group(df, "g", ["v"]).collect()}
+    exp = {}
+    for g in "abc":
+        for i, v in enumerate(sorted(v for gg, v in rows if gg == g)):
+            exp[(g, v)] = i
+    assert got == exp
