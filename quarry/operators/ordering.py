@@ -94,10 +94,11 @@ def position_in_group(
     )
     earlier = Window.partitionBy(group).orderBy("_q_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = runs.select(
-        "_q_part", group,
+        F.col("_q_part").alias("_q_bpart"), F.col(group).alias("_q_bgroup"),
         (F.coalesce(F.sum("_q_n").over(earlier), F.lit(0)) - F.col("_q_first")).alias("_q_base"),
     )
-    return tagged.join(bases, ["_q_part", group]).select(
+    on = (F.col("_q_part") == F.col("_q_bpart")) & F.col(group).eqNullSafe(F.col("_q_bgroup"))
+    return tagged.join(bases, on).select(
         *cols, (F.col("_q_pos") + F.col("_q_base")).alias(name)
     )
 

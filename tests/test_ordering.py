@@ -56,3 +56,11 @@ def test_position_in_group_is_rank_within_group(spark, rows, parts):
         for i, v in enumerate(sorted(v for gg, v in rows if gg == g)):
             exp[(g, v)] = i
     assert got == exp
+
+
+def test_position_in_group_keeps_null_group(spark):
+    from quarry.operators.ordering import position_in_group
+
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v long")
+    got = sorted((r.g or "", r.v, r.pos) for r in position_in_group(df, "g", ["v"]).collect())
+    assert got == [("", 1, 0), ("", 3, 1), ("a", 2, 0)]
