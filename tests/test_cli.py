@@ -1,0 +1,36 @@
+from pathlib import Path
+
+from quarry.cli import run_accounts, run_chars, run_time_usage, run_trades
+from tests_support import TRADE_LINES
+
+FIX = Path(__file__).resolve().parent / "fixtures"
+
+
+def test_run_time_usage(spark):
+    out = run_time_usage(spark, str(FIX / "survey_sample.csv"))
+    assert out["summary"].count() == 9
+    assert [r.working for r in out["grouped"].collect()][0] == "not working"
+
+
+def test_run_trades_numbers_lines_in_file_order(spark, tmp_path):
+    p = tmp_path / "trades.txt"
+    p.write_text("\n".join(TRADE_LINES) + "\n")
+    out = run_trades(spark, str(p))
+    counts = {r.trade_id: r["count"] for r in out["events"].groupBy("trade_id").count().collect()}
+    assert counts == {0: 3, 1: 3, 2: 4, 3: 3}
+    assert out["event_count"].first()[0] == 13
+    assert out["saved_table"].count() == 13
+
+
+def test_run_accounts(spark):
+    out = run_accounts(spark, str(FIX / "person.csv"), str(FIX / "account.csv"))
+    assert [r.id for r in out["broker_candidates"].collect()] == ["100"]
+    assert out["person_accounts"].count() == 60
+    assert out["accounts_by_person"].count() == 149
+
+
+def test_run_chars(spark, tmp_path):
+    p = tmp_path / "t.txt"
+    p.write_text("abca\n")
+    out = run_chars(spark, str(p))
+    assert {r.ch: r.n for r in out["distribution"].collect()} == {"a": 2, "b": 1, "c": 1, "\n": 1}
