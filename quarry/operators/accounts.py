@@ -2,7 +2,7 @@
 candidate selection.
 
 The reference model pairs each person with the list of their accounts.
-Lists are kept for small inputs (:func:`accounts_by_person`), but jobs use
+Lists are available in bounded chunks (:func:`accounts_by_person`), but jobs use
 :func:`account_profile`: one row per person built with partial aggregates
 (counts per type, first account of each type by lowest id, total balance).
 It answers every list predicate (exists, forall, first-of-type) while a
@@ -30,15 +30,23 @@ def _t(account_type: str) -> str:
 
 
 # ---------------------------------------------------------------- nested lists
-def accounts_by_person(accounts: DataFrame) -> DataFrame:
-    """``person_id -> accounts`` as a list of ``(id, type, balance)`` structs
-    sorted by account id.  The list of a person is held in one row, so use
-    it only where lists per person are known to be small; jobs use
-    :func:`account_profile` or :func:`account_positions`.
+LIST_CHUNK = 100_000
+
+
+def accounts_by_person(accounts: DataFrame, chunk_size: int = LIST_CHUNK) -> DataFrame:
+    """``person_id, chunk, accounts``: each person's accounts as lists of
+    ``(id, type, balance)`` structs sorted by account id.
+
+    A person's sorted list is cut into consecutive chunks of at most
+    ``chunk_size`` accounts (chunk 0, 1, ...); concatenated in chunk order
+    they are the whole list, so no account is dropped and no row holds an
+    unbounded group.  Most persons have one chunk.  Positions come from
+    :func:`~quarry.operators.ordering.position_in_group` (sort + write).
     """
-    return accounts.groupBy("person_id").agg(
-        F.array_sort(F.collect_list(F.struct("id", "type", "balance"))).alias("accounts")
-    )
+    placed = position_in_group(accounts, "person_id", ["id"], "_q_pos")
+    return placed.groupBy(
+        "person_id", F.floor(F.col("_q_pos") / F.lit(chunk_size)).cast("long").alias("chunk")
+    ).agg(F.array_sort(F.collect_list(F.struct("id", "type", "balance"))).alias("accounts"))
 
 
 def list_has_type(accounts: Column | str, account_type: str) -> Column:

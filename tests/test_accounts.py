@@ -94,6 +94,19 @@ def test_positions_equal_exploded_lists(tables):
     assert pos == sorted(tuple(r) for r in nested.collect())
 
 
+def test_list_chunks_hold_the_whole_list(tables):
+    _, accounts = tables
+    chunks = A.accounts_by_person(accounts, chunk_size=2).collect()
+    by_person = {}
+    for r in sorted(chunks, key=lambda r: (r.person_id, r.chunk)):
+        assert len(r.accounts) <= 2
+        by_person.setdefault(r.person_id, []).extend(a.id for a in r.accounts)
+    expected = {}
+    for i, p, _, _ in sorted(ACCOUNTS):
+        expected.setdefault(p, []).append(i)
+    assert by_person == expected
+
+
 def test_positions_with_one_hot_person(spark):
     rows = [(i, "hot" if i % 3 else f"p{i}", "SAVINGS", i) for i in range(3000)]
     acc = spark.createDataFrame(rows, "id long, person_id string, type string, balance int")
