@@ -20,6 +20,25 @@ def sum_by_key(df: DataFrame, key: str, value: str, name: str = "total") -> Data
     return df.groupBy(key).agg(F.sum(value).alias(name))
 
 
+def sum_by_key_gathered(df: DataFrame, key: str, value: str, name: str = "total") -> DataFrame:
+    """Sum per key by first gathering the values into lists, then summing
+    each list.
+
+    Values are gathered per input split and key (``spark_partition_id``,
+    ``key``), so a list never holds more than one split's rows, however
+    many rows the key has; each list is summed with ``aggregate`` and the
+    list sums are combined per key (partial + final).  Same result as
+    :func:`sum_by_key`.
+    """
+    lists = df.groupBy(F.spark_partition_id().alias("_q_src"), F.col(key)).agg(
+        F.collect_list(value).alias("_q_vals")
+    )
+    sums = lists.select(
+        key, F.aggregate("_q_vals", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("_q_sum")
+    )
+    return sums.groupBy(key).agg(F.sum("_q_sum").alias(name))
+
+
 def characters(text: Column | str) -> Column:
     """Generator column: one row per character (code point) of ``text``;
     empty or null text gives no rows."""

@@ -158,6 +158,8 @@ FROM joined""",
 SELECT id, age > 40 AS over_40, age >= 50 AS at_least_50, age <= 40 AS at_most_40,
        (age >= 18 AND age <= 30) AS age_18_to_30
 FROM persons""",
+    "sum_by_key_gathered": """SELECT l_suppkey AS "key", CAST(sum(l_linenumber) AS BIGINT) AS total
+FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "sum_by_key_combined": """SELECT l_suppkey AS "key", CAST(sum(l_linenumber) AS BIGINT) AS total
 FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "char_distribution": "WITH " + CHARS + "\nSELECT ch, count(*) AS n FROM chars GROUP BY ch",

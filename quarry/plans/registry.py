@@ -20,6 +20,7 @@ from quarry.operators.keyed import (
     lookup_with_default,
     running_metrics,
     sum_by_key,
+    sum_by_key_gathered,
 )
 from quarry.operators.ordering import top_k_by_key, with_row_index
 from quarry.plans import person_accounts as P
@@ -201,6 +202,11 @@ def age_bounds(spark, d):
 TOP_KEYS = 10  # fixed value of the by-key job: first 10 keys
 
 
+def sum_by_key_gathered_q(spark, d):
+    pairs = S.pairs_from_lineitem(read_table(spark, d, "lineitem"))
+    return top_k_by_key(sum_by_key_gathered(pairs, "key", "value", "total"), "key", TOP_KEYS)
+
+
 def sum_by_key_combined(spark, d):
     pairs = S.pairs_from_lineitem(read_table(spark, d, "lineitem"))
     return top_k_by_key(sum_by_key(pairs, "key", "value", "total"), "key", TOP_KEYS)
@@ -314,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "account_type_flags": account_type_flags,
     "balance_comparators": balance_comparators,
     "age_bounds": age_bounds,
+    "sum_by_key_gathered": sum_by_key_gathered_q,
     "sum_by_key_combined": sum_by_key_combined,
     "char_distribution": char_distribution_q,
     "char_totals": char_totals_q,

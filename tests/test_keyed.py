@@ -11,6 +11,7 @@ from quarry.operators.keyed import (
     lookup_with_default,
     running_metrics,
     sum_by_key,
+    sum_by_key_gathered,
     write_with_metrics,
 )
 from quarry.operators.ordering import top_k_by_key
@@ -32,6 +33,8 @@ def test_sum_by_key_equals_gathered_sum(spark):
     for k, v in PAIRS:
         expected[k] += v
     assert combined == gathered == dict(expected)
+    split_lists = {r.key: r.total for r in sum_by_key_gathered(df.repartition(5), "key", "value").collect()}
+    assert split_lists == dict(expected)
     top = [tuple(r) for r in top_k_by_key(sum_by_key(df, "key", "value"), "key", 10).collect()]
     assert top == sorted(expected.items())[:10]
 
