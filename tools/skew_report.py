@@ -20,7 +20,13 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.operators import accounts as A  # noqa: E402
-from quarry.operators.keyed import char_distribution, lookup_penalty, lookup_with_default, sum_by_key  # noqa: E402
+from quarry.operators.keyed import (  # noqa: E402
+    char_distribution,
+    lookup_penalty,
+    lookup_with_default,
+    sum_by_key,
+    sum_by_key_gathered,
+)
 from quarry.operators.ordering import with_row_index  # noqa: E402
 from quarry.plans import standins as S  # noqa: E402
 from quarry.sources.tables import read_table  # noqa: E402
@@ -68,6 +74,7 @@ def workloads(spark: SparkSession, d: str):
         "account_positions (hot person)": lambda: A.account_positions(accounts),
         "with_account_type semi (hot person)": lambda: A.with_account_type(persons, accounts, "CHEQUING"),
         "sum_by_key (hot key)": lambda: sum_by_key(pairs, "key", "value"),
+        "sum_by_key_gathered (hot key)": lambda: sum_by_key_gathered(pairs, "key", "value"),
         "lookup_with_default, shuffled (50 keys)": lambda: lookup_with_default(
             qty, "i", read_table(spark, d, "part"), "p_partkey", "p_size", max_broadcast_rows=0),
         "lookup_penalty (50 keys)": lambda: lookup_penalty(
