@@ -22,7 +22,6 @@ from quarry.operators import accounts as A
 from quarry.operators.keyed import char_distribution, char_totals
 from quarry.plans import jobs
 from quarry.plans import person_accounts as P
-from quarry.plans import time_usage as TU
 from quarry.sources.csv import read_headed_csv, read_lines
 from quarry.sources.records import parse_accounts, parse_persons
 from quarry.streaming.messages import start_message_stream
