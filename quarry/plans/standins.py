@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+# Fixed value of the message producer: addresses are this prefix plus a number.
+MESSAGE_IP_PREFIX = "192.168.2."
 TS_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -141,5 +143,5 @@ def message_rows_from_events(events: DataFrame) -> DataFrame:
     return events.select(
         epoch_millis("ts").alias("millis"),
         F.col("event_id").alias("n"),
-        F.concat(F.lit("192.168.2."), (F.col("user_id") % 255).cast("string")).alias("ip"),
+        F.concat(F.lit(MESSAGE_IP_PREFIX), (F.col("user_id") % 255).cast("string")).alias("ip"),
     )
