@@ -90,3 +90,22 @@ def test_row_sum_many_columns(spark):
     df = spark.createDataFrame([tuple(float(i % 7) for i in range(n))], ", ".join(f"c{i} double" for i in range(n)))
     r = df.select(row_sum([f"c{i}" for i in range(n)], scale=60).alias("h")).first()
     assert r.h == sum(float(i % 7) for i in range(n)) / 60
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(-5, 80, allow_nan=False)), min_size=1, max_size=30))
+def test_bucket_matches_rule_property(spark, ages):
+    from quarry.plans import time_usage as TU
+
+    def rule(a):
+        if a is None:
+            return None
+        if 15 <= a <= 22:
+            return "young"
+        if 23 <= a <= 55:
+            return "active"
+        return "elder"
+
+    df = spark.createDataFrame([(a,) for a in ages], "a double")
+    got = [r.b for r in df.select(bucket("a", TU.AGE_RULES, "elder").alias("b")).collect()]
+    assert got == [rule(a) for a in ages]
