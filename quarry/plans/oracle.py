@@ -95,6 +95,7 @@ ORACLE: dict[str, str] = {
     "time_usage_grouped_sql": GROUPED.format(n="avg(primaryNeeds)", w="avg(work)", o="avg(other)"),
     "time_usage_grouped_typed": GROUPED.format(n="primaryNeeds", w="work", o="other"),
     "time_usage_grouped_custom": GROUPED.format(n="primaryNeeds", w="work", o="other"),
+    "time_usage_csv_grouped": GROUPED.format(n="avg(primaryNeeds)", w="avg(work)", o="avg(other)"),
     "prefix_classified_sums": "WITH " + SURVEY + """
 SELECT tucaseid, t010101 + t030101 + t180101 AS primaryNeeds_min,
        t050101 + t180501 AS work_min, t020101 + t120101 + t180201 AS other_min

@@ -61,6 +61,15 @@ def time_usage_grouped_custom(spark, d):
     return TU.time_usage_grouped_custom(_summary(spark, d))
 
 
+def time_usage_csv_grouped(spark, d):
+    """The whole survey job from text: the survey is written as a headed CSV,
+    read back with the schema built from its header, summarised and averaged."""
+    path = scratch_path(spark, "csv-survey")
+    S.survey_from_lineitem(read_table(spark, d, "lineitem")).write.option("header", True).csv(path)
+    _, survey = read_headed_csv(spark, path)
+    return TU.time_usage_grouped(TU.time_usage_summary(survey))
+
+
 def prefix_classified_sums(spark, d):
     return TU.classified_sums(S.survey_from_lineitem(read_table(spark, d, "lineitem")), suffix="_min")
 
@@ -296,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "time_usage_grouped_sql": time_usage_grouped_sql,
     "time_usage_grouped_typed": time_usage_grouped_typed,
     "time_usage_grouped_custom": time_usage_grouped_custom,
+    "time_usage_csv_grouped": time_usage_csv_grouped,
     "prefix_classified_sums": prefix_classified_sums,
     "bucket_size": bucket_size,
     "named_column_sum": named_column_sum,
