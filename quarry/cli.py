@@ -4,6 +4,10 @@
     python -m quarry.cli trades --lines trades.txt [--table events_table]
     python -m quarry.cli accounts --persons person.csv --accounts account.csv
     python -m quarry.cli chars --text docs.txt
+    python -m quarry.cli trial --rows rows.csv          (place,placename,amount)
+    python -m quarry.cli bykey --pairs pairs.csv        (key,value)
+    python -m quarry.cli lookup --values values.csv --map map.csv   (i) and (key,value)
+    python -m quarry.cli metrics --values values.csv --out written/  (v)
     python -m quarry.cli messages --source msgs/ --sink out/ --checkpoint ckpt/ [--every "1 second"]
 
 Each ``run_*`` function returns its outputs as named DataFrames (lazy,
@@ -18,8 +22,18 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import bucket, row_sum
 from quarry.operators import accounts as A
-from quarry.operators.keyed import char_distribution, char_totals
+from quarry.operators.keyed import (
+    char_distribution,
+    char_totals,
+    lookup_penalty,
+    lookup_with_default,
+    sum_by_key,
+    sum_by_key_gathered,
+    write_with_metrics,
+)
+from quarry.operators.ordering import top_k_by_key
 from quarry.plans import jobs
 from quarry.plans import person_accounts as P
 from quarry.sources.csv import read_headed_csv, read_lines
@@ -61,6 +75,49 @@ def run_chars(spark: SparkSession, text_path: str) -> dict[str, DataFrame]:
     return {"totals": char_totals(text, "text"), "distribution": char_distribution(text, "text")}
 
 
+def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("ignoreLeadingWhiteSpace", True) \
+        .option("ignoreTrailingWhiteSpace", True).csv(path)
+
+
+def run_trial(spark: SparkSession, rows_path: str) -> dict[str, DataFrame]:
+    """Computed columns over ``place, placename, amount`` rows."""
+    # Fixed value of the trial job: amount < 25 is "small", else "big".
+    t = _csv(spark, rows_path, "place int, placename string, amount int")
+    return {"computed": t.select(
+        (F.col("place") + F.col("amount")).alias("place_plus_amount"),
+        bucket("amount", [(lambda x: x < 25, "small")], "big").alias("size"),
+        row_sum(["place", "amount"]).alias("sum_by_name"),
+        row_sum([F.col("place"), F.col("amount")]).alias("sum_by_column"),
+    )}
+
+
+def run_bykey(spark: SparkSession, pairs_path: str, k: int = 10) -> dict[str, DataFrame]:
+    """Sums per key, gathered and combined, first ``k`` keys."""
+    pairs = _csv(spark, pairs_path, "key string, value int")
+    return {
+        "gathered": top_k_by_key(sum_by_key_gathered(pairs, "key", "value"), "key", k),
+        "combined": top_k_by_key(sum_by_key(pairs, "key", "value"), "key", k),
+    }
+
+
+def run_lookup(spark: SparkSession, values_path: str, map_path: str) -> dict[str, DataFrame]:
+    """Lookup with default 0 and the per-key penalty sums."""
+    values = _csv(spark, values_path, "i int")
+    lookup = _csv(spark, map_path, "key int, value int")
+    return {
+        "looked_up": lookup_with_default(values, "i", lookup, "key", "value", 0, "m"),
+        "penalty": lookup_penalty(values, "i", lookup, "key", "value"),
+    }
+
+
+def run_metrics(spark: SparkSession, values_path: str, out_path: str) -> dict[str, DataFrame]:
+    """Write the values and collect count / sum / average during the write."""
+    values = _csv(spark, values_path, "v long")
+    m = write_with_metrics(values, "v", out_path)
+    return {"metrics": spark.createDataFrame([(m["n"], m["total"], m["mean"])], "n long, total long, mean double")}
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="quarry")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -72,6 +129,14 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--persons", required=True)
     a.add_argument("--accounts", required=True)
     sub.add_parser("chars").add_argument("--text", required=True)
+    sub.add_parser("trial").add_argument("--rows", required=True)
+    sub.add_parser("bykey").add_argument("--pairs", required=True)
+    lk = sub.add_parser("lookup")
+    lk.add_argument("--values", required=True)
+    lk.add_argument("--map", required=True)
+    mt = sub.add_parser("metrics")
+    mt.add_argument("--values", required=True)
+    mt.add_argument("--out", required=True)
     m = sub.add_parser("messages")
     for opt in ("--source", "--sink", "--checkpoint"):
         m.add_argument(opt, required=True)
@@ -88,6 +153,10 @@ def main(argv: list[str] | None = None) -> int:
         "trades": lambda: run_trades(spark, args.lines, args.table),
         "accounts": lambda: run_accounts(spark, args.persons, args.accounts),
         "chars": lambda: run_chars(spark, args.text),
+        "trial": lambda: run_trial(spark, args.rows),
+        "bykey": lambda: run_bykey(spark, args.pairs),
+        "lookup": lambda: run_lookup(spark, args.values, args.map),
+        "metrics": lambda: run_metrics(spark, args.values, args.out),
     }[args.job]()
     for name, df in outputs.items():
         print(f"== {name}")

@@ -34,3 +34,23 @@ def test_run_chars(spark, tmp_path):
     p.write_text("abca\n")
     out = run_chars(spark, str(p))
     assert {r.ch: r.n for r in out["distribution"].collect()} == {"a": 2, "b": 1, "c": 1, "\n": 1}
+
+
+def test_run_trial_bykey_lookup_metrics(spark, tmp_path):
+    from quarry.cli import run_bykey, run_lookup, run_metrics, run_trial
+    from quarry.session import scratch_path
+
+    (tmp_path / "rows.csv").write_text("1,One,20\n2,Two,30\n")
+    got = [tuple(r) for r in run_trial(spark, str(tmp_path / "rows.csv"))["computed"].collect()]
+    assert got == [(21, "small", 21, 21), (32, "big", 32, 32)]
+    (tmp_path / "pairs.csv").write_text("b,1\na,2\nb,3\nc,4\n")
+    out = run_bykey(spark, str(tmp_path / "pairs.csv"), k=2)
+    assert [tuple(r) for r in out["gathered"].collect()] == [("a", 2), ("b", 4)]
+    assert [tuple(r) for r in out["combined"].collect()] == [("a", 2), ("b", 4)]
+    (tmp_path / "values.csv").write_text("3\n4\n4\n12\n")
+    (tmp_path / "map.csv").write_text("3,5\n4,9\n5,1\n")
+    lk = run_lookup(spark, str(tmp_path / "values.csv"), str(tmp_path / "map.csv"))
+    assert sorted(tuple(r) for r in lk["looked_up"].collect()) == [(3, 5), (4, 9), (4, 9), (12, 0)]
+    assert sorted(tuple(r) for r in lk["penalty"].collect()) == [(3, -10), (4, -90)]
+    m = run_metrics(spark, str(tmp_path / "values.csv"), scratch_path(spark, "cli-metrics"))["metrics"].first()
+    assert (m.n, m.total, m.mean) == (4, 23, 5.75)
