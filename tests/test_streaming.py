@@ -41,3 +41,18 @@ def test_processing_time_trigger_memory_sink(spark):
     finally:
         q.stop()
     assert got == sorted((ip, m, n, "www.example.com", ip) for m, n, ip in ROWS)
+
+
+def test_message_times_do_not_depend_on_session_time_zone(spark):
+    from __spark_entry__ import queries
+
+    sf = "/root/testdata/sf0.001"
+    utc = sorted(tuple(r) for r in queries()["message_parse"](spark, sf).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        la = sorted(tuple(r) for r in queries()["message_parse"](spark, sf).collect())
+        trades = queries()["delimited_events"](spark, sf).select("timestamp").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert la == utc
+    assert trades[0].timestamp.startswith("2024-")
