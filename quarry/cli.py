@@ -36,13 +36,14 @@ from quarry.operators.keyed import (
 from quarry.operators.ordering import top_k_by_key
 from quarry.plans import jobs
 from quarry.plans import person_accounts as P
+from quarry.plans import time_usage as TU
 from quarry.sources.csv import read_headed_csv, read_lines
 from quarry.sources.records import parse_accounts, parse_persons
 from quarry.streaming.messages import start_message_stream
 
 
 def run_time_usage(spark: SparkSession, survey_path: str) -> dict[str, DataFrame]:
-    _, survey = read_headed_csv(spark, survey_path)
+    _, survey = read_headed_csv(spark, survey_path, where=TU.in_labour_force())
     res = jobs.time_usage_job(spark, survey)
     return {"summary": res.shared, **res.outputs}
 

@@ -69,12 +69,17 @@ def classified_sums(df: DataFrame, scale: float | None = None, suffix: str = "")
     )
 
 
+def in_labour_force():
+    """The respondents the summary keeps (a predicate on the raw ``telfs``)."""
+    return F.col("telfs") <= IN_LABOUR_FORCE_MAX_TELFS
+
+
 def time_usage_summary(df: DataFrame) -> DataFrame:
     """``working, sex, age, primaryNeeds, work, other`` (hours) for respondents
     in the labour force.  The filter is on a source column and reaches the
     scan; the sums and buckets are plain expressions (whole-stage codegen)."""
     groups = classified_columns(df.columns)
-    kept = df.where(F.col("telfs") <= IN_LABOUR_FORCE_MAX_TELFS)
+    kept = df.where(in_labour_force())
     return kept.select(
         bucket("telfs", WORKING_RULES, "not working").alias("working"),
         bucket("tesex", SEX_RULES, "female").alias("sex"),

@@ -43,6 +43,7 @@ def read_headed_csv(
     keep_quotes: bool = False,
     strict: bool = True,
     sep: str = ",",
+    where: Column | None = None,
 ) -> tuple[list[str], DataFrame]:
     """Read a headed CSV whose first column is text and the rest numbers.
 
@@ -51,7 +52,10 @@ def read_headed_csv(
     ``strict`` fails on a malformed line, a bad number or an empty field;
     otherwise bad lines land in ``_corrupt_record`` (PERMISSIVE).
     ``keep_quotes`` keeps quote characters in the text, as a plain split
-    on the delimiter would.
+    on the delimiter would.  ``where`` is a predicate on the raw columns
+    applied at the scan (pushed into the CSV parser) before the strict
+    checks; the checks wrap each column, so only the columns a query uses
+    are converted and checked.
     """
     names = header_columns(spark, path, sep)
     schema = first_string_rest_double(names, nullable=True)
@@ -60,6 +64,8 @@ def read_headed_csv(
         reader = reader.option("quote", "")
     if strict:
         df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
+        if where is not None:
+            df = df.where(where)
         df = require_not_null(df)
     else:
         schema = StructType(schema.fields + [StructField("_corrupt_record", StringType(), True)])
@@ -69,6 +75,8 @@ def read_headed_csv(
             .schema(schema)
             .csv(path)
         )
+        if where is not None:
+            df = df.where(where)
     return names, df
 
 

@@ -74,3 +74,12 @@ def test_penalty_joins_distinct_keys_only(plans):
     join_at = p.index("Join")
     # the lineitem side is aggregated per key below the join
     assert "HashAggregate(keys=[i" in p[join_at:]
+
+
+def test_csv_survey_filter_pushed_and_columns_pruned(plans, spark):
+    from quarry.sources.csv import read_headed_csv
+
+    assert "LessThanOrEqual(telfs,4.0)" in plans["time_usage_csv_grouped"]
+    _, df = read_headed_csv(spark, str(__import__("pathlib").Path(__file__).parent / "fixtures" / "survey_sample.csv"))
+    p = plan(df.select("tucaseid", "teage"))
+    assert "ReadSchema: struct<tucaseid:string,teage:double>" in p
