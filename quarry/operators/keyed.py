@@ -61,6 +61,23 @@ def char_distribution(df: DataFrame, text_col: str, name: str = "n") -> DataFram
     )
 
 
+def char_occurrence_lists(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id, ch, ones``: for each text and character, the list holding a 1
+    per occurrence (the gathered pairs of ``(character, 1)``).
+
+    Lists are gathered per text, so a list is never longer than its text,
+    however frequent the character is overall; the texts of one character
+    stay spread over many rows and tasks.
+    """
+    chars = spread(df.select(id_col, text_col)).select(id_col, characters(text_col).alias("ch"))
+    return chars.groupBy(id_col, "ch").agg(F.collect_list(F.lit(1)).alias("ones"))
+
+
+def char_occurrence_counts(lists: DataFrame, name: str = "n") -> DataFrame:
+    """Total length of the occurrence lists per character (partial + final)."""
+    return lists.groupBy("ch").agg(F.sum(F.size("ones")).cast("long").alias(name))
+
+
 def char_totals(df: DataFrame, text_col: str) -> DataFrame:
     """Total number of characters, counted (``count``) and as a sum of ones."""
     return spread(df.select(text_col)).select(characters(text_col).alias("ch")).agg(

@@ -1,4 +1,5 @@
-"""Ordering operators: contiguous row index, top-k."""
+"""Ordering operators: sorted (partition, position) tags, contiguous row index,
+position inside a group, top-k."""
 
 from __future__ import annotations
 

@@ -164,6 +164,7 @@ FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "sum_by_key_combined": """SELECT l_suppkey AS "key", CAST(sum(l_linenumber) AS BIGINT) AS total
 FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "char_distribution": "WITH " + CHARS + "\nSELECT ch, count(*) AS n FROM chars GROUP BY ch",
+    "char_occurrence_lists": "WITH " + CHARS + "\nSELECT ch, count(*) AS n FROM chars GROUP BY ch",
     "char_totals": "WITH " + CHARS + "\nSELECT count(*) AS total_chars, count(*) AS total_chars_ones FROM chars",
     "lookup_with_default": f"""SELECT l_orderkey, l_linenumber, {QUANTITY} AS i, coalesce(n.n_regionkey, 0) AS m
 FROM lineitem LEFT JOIN nation n ON n.n_nationkey = {QUANTITY}""",

@@ -15,6 +15,8 @@ from quarry.functions.columns import bucket, row_sum
 from quarry.operators import accounts as A
 from quarry.operators.keyed import (
     char_distribution,
+    char_occurrence_counts,
+    char_occurrence_lists,
     char_totals,
     lookup_penalty,
     lookup_with_default,
@@ -226,6 +228,13 @@ def char_distribution_q(spark, d):
     return char_distribution(read_table(spark, d, "documents"), "text", "n")
 
 
+def char_occurrence_lists_q(spark, d):
+    """Occurrence lists per document and character, gathered, then their
+    total length per character."""
+    lists = char_occurrence_lists(read_table(spark, d, "documents"), "text", "doc_id")
+    return char_occurrence_counts(lists, "n")
+
+
 def char_totals_q(spark, d):
     return char_totals(read_table(spark, d, "documents"), "text")
 
@@ -334,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "sum_by_key_gathered": sum_by_key_gathered_q,
     "sum_by_key_combined": sum_by_key_combined,
     "char_distribution": char_distribution_q,
+    "char_occurrence_lists": char_occurrence_lists_q,
     "char_totals": char_totals_q,
     "lookup_with_default": lookup_with_default_q,
     "lookup_penalty": lookup_penalty_q,

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators.keyed import (
     char_distribution,
+    char_occurrence_counts,
+    char_occurrence_lists,
     char_totals,
     lookup_penalty,
     lookup_with_default,
@@ -45,6 +47,11 @@ def test_char_distribution_and_totals(spark):
     got = {r.ch: r.n for r in char_distribution(df, "text").collect()}
     expected = Counter("".join(t for t in texts if t))
     assert got == dict(expected)
+    with_ids = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    lists = char_occurrence_lists(with_ids, "text", "doc_id").collect()
+    assert all(set(r.ones) == {1} and len(r.ones) == texts[r.doc_id].count(r.ch) for r in lists)
+    assert {r.ch: r.n for r in char_occurrence_counts(char_occurrence_lists(with_ids, "text", "doc_id")).collect()} \
+        == dict(expected)
     tot = char_totals(df, "text").first()
     assert tot.total_chars == tot.total_chars_ones == sum(expected.values())
 
