@@ -22,6 +22,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from quarry.operators import accounts as A  # noqa: E402
 from quarry.operators.keyed import (  # noqa: E402
     char_distribution,
+    char_occurrence_counts,
+    char_occurrence_lists,
     lookup_penalty,
     lookup_with_default,
     sum_by_key,
@@ -81,6 +83,8 @@ def workloads(spark: SparkSession, d: str):
             qty.select("i"), "i", read_table(spark, d, "part"), "p_partkey", "p_size"),
         "with_row_index (hot tied key)": lambda: with_row_index(tied, ["k"], "idx"),
         "char_distribution (skewed characters)": lambda: char_distribution(read_table(spark, d, "documents"), "text"),
+        "char_occurrence_lists (skewed characters)": lambda: char_occurrence_counts(
+            char_occurrence_lists(read_table(spark, d, "documents"), "text", "doc_id")),
     }
 
 
