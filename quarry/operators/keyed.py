@@ -65,12 +65,15 @@ def char_occurrence_lists(df: DataFrame, text_col: str, id_col: str) -> DataFram
     """``id, ch, ones``: for each text and character, the list holding a 1
     per occurrence (the gathered pairs of ``(character, 1)``).
 
-    Lists are gathered per text, so a list is never longer than its text,
-    however frequent the character is overall; the texts of one character
-    stay spread over many rows and tasks.
+    Occurrences are counted per text and character first (a partial
+    aggregate in the exploding stage) and each list is built from its count
+    (``array_repeat``), so single ones are never shuffled or buffered.
+    Lists are per text, so a list is never longer than its text, however
+    frequent the character is overall.
     """
     chars = spread(df.select(id_col, text_col)).select(id_col, characters(text_col).alias("ch"))
-    return chars.groupBy(id_col, "ch").agg(F.collect_list(F.lit(1)).alias("ones"))
+    counts = chars.groupBy(id_col, "ch").agg(F.count(F.lit(1)).alias("_q_n"))
+    return counts.select(id_col, "ch", F.array_repeat(F.lit(1), F.col("_q_n").cast("int")).alias("ones"))
 
 
 def char_occurrence_counts(lists: DataFrame, name: str = "n") -> DataFrame:
