@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.session import scratch_path
 
@@ -37,7 +38,9 @@ def sorted_tags(
         .write.mode("errorifexists")
         .parquet(location)
     )
-    stored = spark.read.parquet(location)
+    stored = spark.read.schema(
+        StructType(df.schema.fields + [StructField("_q_mid", LongType(), False)])
+    ).parquet(location)
     return stored.select(
         *df.columns,
         F.shiftright(F.col("_q_mid"), _POS_BITS).alias("_q_part"),

@@ -33,7 +33,12 @@ from quarry.session import scratch_path, unique_name
 from quarry.sources.csv import read_headed_csv, read_lines
 from quarry.sources.records import parse_accounts, parse_persons
 from quarry.sources.tables import read_table
-from quarry.streaming.messages import format_messages, parse_messages, start_message_stream
+from quarry.streaming.messages import (
+    PARSED_MESSAGE_SCHEMA,
+    format_messages,
+    parse_messages,
+    start_message_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -306,7 +311,7 @@ def stream_messages(spark, d):
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(sink)
+    return spark.read.schema(PARSED_MESSAGE_SCHEMA).parquet(sink)
 
 
 QUERIES: dict[str, Query] = {

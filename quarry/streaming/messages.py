@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quarry.functions.text import split_literal
 
@@ -17,6 +17,15 @@ MESSAGE_DELIMITER = ","
 MESSAGE_SCHEMA = StructType(
     [StructField("key", StringType(), True), StructField("value", StringType(), True)]
 )
+PARSED_MESSAGE_SCHEMA = StructType(
+    [
+        StructField("key", StringType(), True),
+        StructField("millis", LongType(), True),
+        StructField("n", LongType(), True),
+        StructField("host", StringType(), True),
+        StructField("ip", StringType(), True),
+    ]
+)
 
 
 def format_messages(df: DataFrame, millis: str, n: str, ip: str, host: str = MESSAGE_HOST) -> DataFrame:
