@@ -54,3 +54,17 @@ def test_run_trial_bykey_lookup_metrics(spark, tmp_path):
     assert sorted(tuple(r) for r in lk["penalty"].collect()) == [(3, -10), (4, -90)]
     m = run_metrics(spark, str(tmp_path / "values.csv"), scratch_path(spark, "cli-metrics"))["metrics"].first()
     assert (m.n, m.total, m.mean) == (4, 23, 5.75)
+
+
+def test_cli_entry_point_runs(tmp_path):
+    import subprocess
+    import sys
+
+    (tmp_path / "rows.csv").write_text("1,One,20\n2,Two,30\n")
+    out = subprocess.run(
+        [sys.executable, "-m", "quarry.cli", "trial", "--rows", str(tmp_path / "rows.csv")],
+        cwd=str(Path(__file__).resolve().parents[1]), capture_output=True, text=True, timeout=300,
+    )
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [ln for ln in out.stdout.splitlines() if ln.startswith("|") and "place_plus_amount" not in ln]
+    assert [ln.replace(" ", "") for ln in lines] == ["|21|small|21|21|", "|32|big|32|32|"]
