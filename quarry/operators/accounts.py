@@ -78,8 +78,10 @@ def account_profile(accounts: DataFrame, types: Sequence[str] = ACCOUNT_TYPES) -
     for t in types:
         is_t = F.col("type") == F.lit(t)
         aggs.append(F.count(F.when(is_t, F.lit(1))).alias(f"n_{_t(t)}"))
-        first = F.min(F.when(is_t, F.struct(F.col("id"), F.col("balance"))))
-        aggs.append(first.getField("balance").alias(f"first_{_t(t)}_balance"))
+        # balance at the lowest id of this type (null orderings are skipped);
+        # fixed-width buffers keep this in the hash aggregate
+        first = F.min_by(F.col("balance"), F.when(is_t, F.col("id")))
+        aggs.append(first.alias(f"first_{_t(t)}_balance"))
     return accounts.groupBy("person_id").agg(*aggs)
 
 

@@ -83,3 +83,8 @@ def test_csv_survey_filter_pushed_and_columns_pruned(plans, spark):
     _, df = read_headed_csv(spark, str(__import__("pathlib").Path(__file__).parent / "fixtures" / "survey_sample.csv"))
     p = plan(df.select("tucaseid", "teage"))
     assert "ReadSchema: struct<tucaseid:string,teage:double>" in p
+
+
+def test_no_sort_based_aggregation(plans):
+    for name, p in plans.items():
+        assert "SortAggregate" not in p, name
