@@ -82,10 +82,11 @@ def char_occurrence_counts(lists: DataFrame, name: str = "n") -> DataFrame:
 
 
 def char_totals(df: DataFrame, text_col: str) -> DataFrame:
-    """Total number of characters, counted (``count``) and as a sum of ones."""
+    """Total number of characters, counted (``count``) and as a sum of ones
+    (0 for no characters, as a sum over an empty set)."""
     return spread(df.select(text_col)).select(characters(text_col).alias("ch")).agg(
         F.count(F.lit(1)).alias("total_chars"),
-        F.sum(F.lit(1)).cast("long").alias("total_chars_ones"),
+        F.coalesce(F.sum(F.lit(1)), F.lit(0)).cast("long").alias("total_chars_ones"),
     )
 
 
