@@ -119,6 +119,12 @@ SELECT "timestamp", trade_id, product_id, amount FROM trade_events ORDER BY "tim
     "saved_table": "WITH " + TRADE_EVENTS + "\nSELECT * FROM trade_events",
     "float_sum_by_flag": "SELECT l_returnflag, round(sum(CAST(l_extendedprice AS FLOAT)), 2) AS sum_price "
     "FROM lineitem GROUP BY 1",
+    "accounts_by_person": "WITH " + ACCOUNTS + """,
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY person_id ORDER BY id) - 1) // 100000 AS chunk FROM accounts)
+SELECT person_id, chunk, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids,
+       CAST(sum(balance) AS BIGINT) AS total
+FROM placed GROUP BY person_id, chunk""",
     "account_positions": "WITH " + ACCOUNTS + """
 SELECT person_id, row_number() OVER (PARTITION BY person_id ORDER BY id) - 1 AS pos, id, type, balance
 FROM accounts""",

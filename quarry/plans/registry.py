@@ -149,6 +149,20 @@ def _joined(spark, d):
     return A.person_accounts(_persons(spark, d), _accounts(spark, d))
 
 
+def accounts_by_person_q(spark, d):
+    """Each person's accounts gathered into lists sorted by id (bounded
+    chunks), shown flat: the ids in list order, the list size and the sum
+    of the list's balances."""
+    lists = A.accounts_by_person(_accounts(spark, d))
+    return lists.select(
+        "person_id",
+        "chunk",
+        F.size("accounts").cast("long").alias("n"),
+        F.array_join(F.transform("accounts", lambda a: a["id"].cast("string")), ",").alias("ids"),
+        F.aggregate("accounts", F.lit(0).cast("long"), lambda acc, a: acc + a["balance"]).alias("total"),
+    )
+
+
 def account_positions(spark, d):
     return A.account_positions(_accounts(spark, d))
 
@@ -334,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "max_amount_by_type": _report("max_amount_by_product"),
     "saved_table": saved_table,
     "float_sum_by_flag": float_sum_by_flag,
+    "accounts_by_person": accounts_by_person_q,
     "account_positions": account_positions,
     "person_accounts": person_accounts,
     "large_savings_high_earners": large_savings_high_earners,
