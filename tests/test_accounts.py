@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarry.operators import accounts as A
@@ -140,3 +142,21 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert sorted(tuple(r) for r in joined.collect()) == sorted(tuple(r) for r in direct.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.integers(0, 10**6)), max_size=40,
+                unique_by=lambda t: t[1]), st.integers(1, 4))
+def test_list_chunks_property(spark, rows, chunk):
+    if not rows:
+        return
+    acc = spark.createDataFrame([(i, p, "SAVINGS", 1) for p, i in rows],
+                                "id long, person_id string, type string, balance int")
+    got = {}
+    for r in sorted(A.accounts_by_person(acc, chunk_size=chunk).collect(), key=lambda r: (r.person_id, r.chunk)):
+        assert 0 < len(r.accounts) <= chunk
+        got.setdefault(r.person_id, []).extend(a.id for a in r.accounts)
+    exp = {}
+    for p, i in sorted(rows, key=lambda t: t[1]):
+        exp.setdefault(p, []).append(i)
+    assert got == exp
