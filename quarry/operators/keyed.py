@@ -20,19 +20,30 @@ def sum_by_key(df: DataFrame, key: str, value: str, name: str = "total") -> Data
     return df.groupBy(key).agg(F.sum(value).alias(name))
 
 
-def sum_by_key_gathered(df: DataFrame, key: str, value: str, name: str = "total") -> DataFrame:
+GATHER_BLOCK = 100_000  # rows of one input split per gathered list, at most
+
+
+def sum_by_key_gathered(
+    df: DataFrame, key: str, value: str, name: str = "total", block: int = GATHER_BLOCK
+) -> DataFrame:
     """Sum per key by first gathering the values into lists, then summing
     each list.
 
-    Values are gathered per input split and key (``spark_partition_id``,
-    ``key``), so a list never holds more than one split's rows, however
-    many rows the key has; each list is summed with ``aggregate`` and the
-    list sums are combined per key (partial + final).  Same result as
+    Values are gathered per input split, block of ``block`` scanned rows
+    and key, so a list never holds more than ``block`` values however many
+    rows the key has (the split and the row's place in it come from
+    ``monotonically_increasing_id`` at the scan, stable under task
+    retries).  Each list is summed with ``aggregate`` and the list sums
+    are combined per key (partial + final).  Same result as
     :func:`sum_by_key`.
     """
-    lists = df.groupBy(F.spark_partition_id().alias("_q_src"), F.col(key)).agg(
-        F.collect_list(value).alias("_q_vals")
+    mid = F.monotonically_increasing_id()
+    tagged = df.select(
+        F.col(key), F.col(value),
+        F.shiftright(mid, 33).alias("_q_src"),
+        F.floor(mid.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(block)).alias("_q_blk"),
     )
+    lists = tagged.groupBy("_q_src", "_q_blk", key).agg(F.collect_list(value).alias("_q_vals"))
     sums = lists.select(
         key, F.aggregate("_q_vals", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("_q_sum")
     )

@@ -37,6 +37,8 @@ def test_sum_by_key_equals_gathered_sum(spark):
     assert combined == gathered == dict(expected)
     split_lists = {r.key: r.total for r in sum_by_key_gathered(df.repartition(5), "key", "value").collect()}
     assert split_lists == dict(expected)
+    small_blocks = {r.key: r.total for r in sum_by_key_gathered(df.repartition(3), "key", "value", block=7).collect()}
+    assert small_blocks == dict(expected)
     top = [tuple(r) for r in top_k_by_key(sum_by_key(df, "key", "value"), "key", 10).collect()]
     assert top == sorted(expected.items())[:10]
 
