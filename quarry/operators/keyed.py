@@ -102,19 +102,25 @@ def char_totals(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def _broadcast_if_small(
-    lookup: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES
+    lookup: DataFrame, key: str, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Hint a broadcast only after checking size: one pass over at most
-    ``max_rows + 1`` rows counts them and adds up their bytes (the text
-    length of every column plus 16 per row)."""
+    ``max_rows + 1`` rows counts them, their distinct keys and their bytes
+    (the text length of every column plus 16 per row).  A small lookup
+    with a repeated key is refused: a map has one value per key."""
     size = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.columns),
         F.lit(16),
     )
-    n, nbytes = lookup.limit(max_rows + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))
+    n, keys, nbytes = lookup.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.count_distinct(F.col(key)), F.coalesce(F.sum(size), F.lit(0))
     ).first()
-    return F.broadcast(lookup) if n <= max_rows and nbytes <= max_bytes else lookup
+    if n > max_rows or nbytes > max_bytes:
+        return lookup
+    nulls = lookup.where(F.col(key).isNull()).limit(1).count() if keys < n else 0
+    if keys + nulls < n:
+        raise ValueError(f"lookup keys are not unique ({n} rows, {keys} distinct keys)")
+    return F.broadcast(lookup)
 
 
 def lookup_with_default(
@@ -129,12 +135,13 @@ def lookup_with_default(
 ) -> DataFrame:
     """Append ``name`` = ``lookup[key]``, or ``default`` when the key is absent.
 
-    ``lookup`` is a map: its keys must be unique.  It is broadcast when its
-    checked size allows (so a hot key on ``df`` costs nothing extra), and
-    joined by shuffle otherwise.
+    ``lookup`` is a map: its keys must be unique (checked when it is small
+    enough to broadcast).  It is broadcast when its checked size allows (so
+    a hot key on ``df`` costs nothing extra), and joined by shuffle
+    otherwise.
     """
     side = lookup.select(F.col(lookup_key).alias("_q_lk"), F.col(lookup_value).alias("_q_lv"))
-    side = _broadcast_if_small(side, max_broadcast_rows)
+    side = _broadcast_if_small(side, "_q_lk", max_broadcast_rows)
     joined = df.join(side, df[key] == side["_q_lk"], "left")
     return joined.select(
         *[df[c] for c in df.columns], F.coalesce(F.col("_q_lv"), F.lit(default)).alias(name)

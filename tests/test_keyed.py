@@ -63,6 +63,11 @@ def test_lookup_with_default(spark):
     lookup = spark.createDataFrame([(k, (k * 7) % 11) for k in range(12)], "k int, v int")
     got = sorted(tuple(r) for r in lookup_with_default(df, "i", lookup, "k", "v", 0, "m").collect())
     assert got == sorted((i, (i * 7) % 11 if i < 12 else 0) for i in [0, 1, 2, 11, 12, 3, 3])
+    dup = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
+    import pytest
+
+    with pytest.raises(ValueError, match="not unique"):
+        lookup_with_default(df, "i", dup, "k", "v")
     # the shuffled path (size check above the limit) gives the same rows
     shuffled = lookup_with_default(df, "i", lookup, "k", "v", 0, "m", max_broadcast_rows=1)
     assert sorted(tuple(r) for r in shuffled.collect()) == got
