@@ -37,6 +37,7 @@ from quarry.operators.ordering import top_k_by_key
 from quarry.plans import jobs
 from quarry.plans import person_accounts as P
 from quarry.plans import time_usage as TU
+from quarry.functions.text import jvm_trim
 from quarry.sources.csv import read_headed_csv, read_lines
 from quarry.sources.records import parse_accounts, parse_persons
 from quarry.streaming.messages import start_message_stream
@@ -49,12 +50,13 @@ def run_time_usage(spark: SparkSession, survey_path: str) -> dict[str, DataFrame
 
 
 def run_trades(spark: SparkSession, lines_path: str, table: str | None = None) -> dict[str, DataFrame]:
-    """Lines of a text file, numbered in file order (file, then line offset)."""
+    """Lines of a text file, numbered in file order (file, then line offset);
+    blank lines are skipped."""
     lines = read_lines(spark, lines_path).select(
         F.col("value").alias("line"),
         F.input_file_name().alias("_file"),
         F.monotonically_increasing_id().alias("_n"),
-    ).where(F.length(F.col("line")) > 0)
+    ).where(F.length(jvm_trim("line")) > 0)  # blank lines carry no events
     ordered = lines.select("line", F.struct("_file", "_n").alias("line_no"))
     res = jobs.trade_job(spark, ordered, table)
     return {"events": res.shared, **res.outputs}

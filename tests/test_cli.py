@@ -14,7 +14,7 @@ def test_run_time_usage(spark):
 
 def test_run_trades_numbers_lines_in_file_order(spark, tmp_path):
     p = tmp_path / "trades.txt"
-    p.write_text("\n".join(TRADE_LINES) + "\n")
+    p.write_text("\n".join(TRADE_LINES[:2]) + "\n \t\n" + "\n".join(TRADE_LINES[2:]) + "\n")
     out = run_trades(spark, str(p))
     counts = {r.trade_id: r["count"] for r in out["events"].groupBy("trade_id").count().collect()}
     assert counts == {0: 3, 1: 3, 2: 4, 3: 3}
