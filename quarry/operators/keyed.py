@@ -1,10 +1,12 @@
-"""Keyed aggregates: sums per key, character distributions, lookups with a
-default, and metrics collected alongside a write."""
+"""Keyed aggregates: sums per key (combined and gathered), character
+distributions and occurrence lists, lookups with a default, and metrics
+collected alongside a write."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 from quarry.operators.partitioning import spread
 
@@ -23,6 +25,15 @@ def sum_by_key(df: DataFrame, key: str, value: str, name: str = "total") -> Data
 GATHER_BLOCK = 100_000  # rows of one input split per gathered list, at most
 
 
+def _sum_type(dt: DataType) -> str:
+    """The type ``sum`` gives for a column type (long, wide decimal or double)."""
+    if isinstance(dt, IntegralType):
+        return "long"
+    if isinstance(dt, DecimalType):
+        return f"decimal({min(38, dt.precision + 10)},{dt.scale})"
+    return "double"
+
+
 def sum_by_key_gathered(
     df: DataFrame, key: str, value: str, name: str = "total", block: int = GATHER_BLOCK
 ) -> DataFrame:
@@ -38,14 +49,15 @@ def sum_by_key_gathered(
     :func:`sum_by_key`.
     """
     mid = F.monotonically_increasing_id()
+    acc_type = _sum_type(df.schema[value].dataType)
     tagged = df.select(
-        F.col(key), F.col(value),
+        F.col(key), F.col(value).cast(acc_type).alias(value),
         F.shiftright(mid, 33).alias("_q_src"),
         F.floor(mid.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(block)).alias("_q_blk"),
     )
     lists = tagged.groupBy("_q_src", "_q_blk", key).agg(F.collect_list(value).alias("_q_vals"))
     sums = lists.select(
-        key, F.aggregate("_q_vals", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("_q_sum")
+        key, F.aggregate("_q_vals", F.lit(0).cast(acc_type), lambda acc, x: acc + x).alias("_q_sum")
     )
     return sums.groupBy(key).agg(F.sum("_q_sum").alias(name))
 

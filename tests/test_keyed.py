@@ -39,6 +39,9 @@ def test_sum_by_key_equals_gathered_sum(spark):
     assert split_lists == dict(expected)
     small_blocks = {r.key: r.total for r in sum_by_key_gathered(df.repartition(3), "key", "value", block=7).collect()}
     assert small_blocks == dict(expected)
+    halves = df.selectExpr("key", "value / 2 AS value")
+    doubles = {r.key: r.total for r in sum_by_key_gathered(halves, "key", "value").collect()}
+    assert doubles == {k: v / 2 for k, v in expected.items()}
     top = [tuple(r) for r in top_k_by_key(sum_by_key(df, "key", "value"), "key", 10).collect()]
     assert top == sorted(expected.items())[:10]
 
