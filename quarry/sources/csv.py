@@ -26,7 +26,12 @@ def header_columns(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 def require_not_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Fail the job on a null in any of ``cols`` (declared non-null fields;
-    the CSV reader relaxes them to nullable)."""
+    the CSV reader relaxes them to nullable).
+
+    Each column is wrapped on its own, so the check travels with the
+    column: a query that reads the column checks it, and a column the
+    query prunes is neither read nor checked.
+    """
     check = set(cols if cols is not None else df.columns)
     out = []
     for c in df.columns:
@@ -49,7 +54,8 @@ def read_headed_csv(
 
     Returns ``(columns, df)``.  The schema comes from the header (first
     column string, the others double); the header line is skipped.
-    ``strict`` fails on a malformed line, a bad number or an empty field;
+    ``strict`` fails on a malformed line or a bad number, and on an empty
+    field in a column the query reads (of the rows ``where`` keeps);
     otherwise bad lines land in ``_corrupt_record`` (PERMISSIVE).
     ``keep_quotes`` keeps quote characters in the text, as a plain split
     on the delimiter would.  ``where`` is a predicate on the raw columns
