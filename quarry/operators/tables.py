@@ -40,8 +40,9 @@ def save_bucketed_table(
     df: DataFrame, name: str, key: str, buckets: int, mode: str = "errorifexists",
     path: str | None = None, fmt: str = "parquet",
 ) -> DataFrame:
-    """Save ``df`` hash-bucketed (and sorted) by ``key`` into ``buckets`` files
-    per write task group.  Tables bucketed alike on the same key type are
+    """Save ``df`` hash-bucketed by ``key`` into ``buckets`` buckets, sorted by
+    ``key`` inside each (one file per bucket and write task).  Tables
+    bucketed alike on the same key type are
     co-located: aggregating or joining them on ``key`` needs no shuffle,
     which is what a hash-partitioned pair join does once per run, written
     down once for every later run."""

@@ -77,7 +77,9 @@ def in_labour_force():
 def time_usage_summary(df: DataFrame) -> DataFrame:
     """``working, sex, age, primaryNeeds, work, other`` (hours) for respondents
     in the labour force.  The filter is on a source column and reaches the
-    scan; the sums and buckets are plain expressions (whole-stage codegen)."""
+    scan; the sums and buckets are plain column expressions (compiled by
+    whole-stage codegen when the input has at most Spark's 100-field limit
+    of columns, evaluated by the JVM interpreter above it)."""
     groups = classified_columns(df.columns)
     kept = df.where(in_labour_force())
     return kept.select(
