@@ -15,7 +15,7 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33
 
 
 def sorted_tags(
-    df: DataFrame, order_by: Sequence[str | Column], path: str | None = None
+    df: DataFrame, order_by: Sequence[str | Column] | None, path: str | None = None
 ) -> DataFrame:
     """``df`` in ``order_by`` order, written once as parquet under the shared
     folder, with ``_q_part`` (sorted partition) and ``_q_pos`` (0-based place
@@ -23,21 +23,25 @@ def sorted_tags(
 
     The frame is range-partitioned and sorted; ties in ``order_by`` are
     broken by input position, so a heavily repeated key is still split over
-    many partitions.  Writing the tags cuts the lineage: a lost executor
+    many partitions.  With ``order_by=None`` the rows keep the frame's own
+    order (partition by partition, as ``zipWithIndex`` numbers them) and
+    nothing is shuffled.  Writing the tags cuts the lineage: a lost executor
     cannot renumber rows, and later steps depend only on stored values.
 
     Materialises: runs the sort and the write when called.
     """
     spark = df.sparkSession
     location = path or scratch_path(spark, "row-index")
-    (
+    ordered = (
         df.withColumn("_q_in", F.monotonically_increasing_id())
         .orderBy(*order_by, "_q_in")
         .drop("_q_in")
-        .withColumn("_q_mid", F.monotonically_increasing_id())
-        .write.mode("errorifexists")
-        .parquet(location)
+        if order_by is not None
+        else df
     )
+    ordered.withColumn("_q_mid", F.monotonically_increasing_id()).write.mode(
+        "errorifexists"
+    ).parquet(location)
     stored = spark.read.schema(
         StructType(df.schema.fields + [StructField("_q_mid", LongType(), False)])
     ).parquet(location)
@@ -49,7 +53,7 @@ def sorted_tags(
 
 
 def with_row_index(
-    df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index",
+    df: DataFrame, order_by: Sequence[str | Column] | None, name: str = "row_index",
     path: str | None = None,
 ) -> DataFrame:
     """Append a contiguous 0-based index in the order of ``order_by``.
@@ -59,7 +63,9 @@ def with_row_index(
     only, give offsets (one row per partition, a size bounded by the
     partition count) that are broadcast back onto the rows.  No step moves
     all rows to one partition.  Ties in ``order_by`` are numbered in input
-    order; pass a unique key for a reproducible index.
+    order; pass a unique key for a reproducible index.  ``order_by=None``
+    numbers the rows in the frame's current order without sorting (the
+    frame is still written once, so the numbering cannot change).
 
     Materialises: runs the sort and the write when called.
     """

@@ -64,3 +64,11 @@ def test_position_in_group_keeps_null_group(spark):
     df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v long")
     got = sorted((r.g or "", r.v, r.pos) for r in position_in_group(df, "g", ["v"]).collect())
     assert got == [("", 1, 0), ("", 3, 1), ("a", 2, 0)]
+
+
+def test_row_index_in_current_order(spark):
+    df = spark.range(0, 1000, numPartitions=5).select((F.col("id") * 7 % 1000).alias("v"))
+    expected = [r.v for r in df.collect()]  # partition by partition
+    got = sorted((r.idx, r.v) for r in with_row_index(df, None, "idx").collect())
+    assert [i for i, _ in got] == list(range(1000))
+    assert [v for _, v in got] == expected
