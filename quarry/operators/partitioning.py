@@ -12,6 +12,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     When the input is already wide enough (the normal case at scale) the
     frame is returned unchanged and no shuffle is added.  Planning only,
     no job runs."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
     return df.repartition(want) if have < want else df
