@@ -19,7 +19,13 @@ def shared_dir(spark: SparkSession) -> str:
     application; a cluster session without it is an error, because a
     machine-local folder is not visible to executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext (e.g. Spark Connect)
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return base.rstrip("/")
     base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not sc.master.startswith("local"):

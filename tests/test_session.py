@@ -47,3 +47,14 @@ def test_local_without_setting_gets_one_folder():
 
 def test_real_session_uses_configured_folder(spark):
     assert shared_dir(spark).startswith(("/", "file:"))
+
+
+def test_session_without_context_reads_conf():
+    class NoContext:
+        conf = _Conf({"spark.checkpoint.dir": "s3a://bucket/shared"})
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("not available")
+
+    assert shared_dir(NoContext()) == "s3a://bucket/shared"
