@@ -212,7 +212,7 @@ class NewFile:
         self.path = posixpath.join(folder, f"{stem}-{uuid.uuid4().hex}{suffix}")
         self._fs, inner = filesystem(self.path)
         self._fs.create_dir(posixpath.dirname(inner), recursive=True)
-        self._out = self._fs.open_output_stream(inner)
+        self._out = self._fs.open_output_stream(inner, compression=None)
         self.size = 0
 
     def write(self, data) -> None:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import mixing, quality, tokens
-from quarry.llm.common import table
+from quarry.llm import chat, decontam, html, jaccard, mixing, quality, secrets, tokens, warc
+from quarry.llm.common import table, written
 
 
 def tokenizer_path() -> str:
@@ -37,5 +37,41 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op2_quality_rules, op3_mix_sources)}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    return secrets.secret_digests(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written and read back."""
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that overlap."""
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one made of control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    return chat.chat_digests(written(chat.format_chat(turns.unionByName(more)), "chat"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op7_ngram_jaccard, op8_main_text,
+    op9_decontamination, op10_chat_format)}
 ORACLE: dict[str, str] = {}
