@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, html, jaccard, mixing, quality, secrets, tokens, warc
+from quarry.llm import chat, decontam, html, jaccard, mixing, quality, secrets, tokens, toxicity, warc
 from quarry.llm.common import table, written
 
 
@@ -48,6 +48,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
@@ -72,6 +77,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op7_ngram_jaccard, op8_main_text,
-    op9_decontamination, op10_chat_format)}
+    op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op6_toxicity, op7_ngram_jaccard,
+    op8_main_text, op9_decontamination, op10_chat_format)}
 ORACLE: dict[str, str] = {}
