@@ -187,6 +187,21 @@ def span_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return mixed((sums[ends] - sums[starts]) * inverse[starts] + size), check
 
 
+BITMAP_BITS = 24
+
+
+def bitmap(places: DataFrame) -> np.ndarray:
+    """2 MB with the bits set that the int column of ``places`` names; at most
+    2^BITMAP_BITS numbers reach the driver, however long ``places`` is."""
+    flags = np.zeros(1 << BITMAP_BITS, bool)
+    flags[places.distinct().toArrow().column(0).to_numpy()] = True
+    return np.packbits(flags, bitorder="little")
+
+
+def in_bitmap(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
 # Files in the shared folder -------------------------------------------------
 
 def filesystem(path: str):

@@ -2,10 +2,11 @@
 
 A mask looks at 8 of 12 words in a row and ignores the others, so a seed still
 hits where some words were replaced.  Seeds of all windows of the benchmark are
-stored by hash; a bitmap of their hashes (of fixed size, whatever the size of
-the benchmark) sorts out windows of documents inside the scan, and only those
-that may hit are joined to the stored seeds.  Around each hit the document and
-the item are laid side by side; they overlap if a stretch has enough equal words.
+stored by hash; bitmaps of their hashes (of fixed size, whatever the size of the
+benchmark) sort out windows of documents inside the scan, and only documents
+with windows that may hit go on, with those windows, to be joined to the stored
+seeds.  Around each hit the document and the item are laid side by side; they
+overlap if a stretch has enough equal words.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ LEAST_WORDS = 5
 #: with this many equal words, or all of a shorter item's.
 LEAST_EQUAL = 10
 MISS = 2
-BITMAP_BITS = 24
 
 #: Words are runs of ASCII letters and digits and of non-ASCII characters.
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
@@ -53,10 +53,6 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return common.mixed(h).view(np.int64)
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return h.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
-
-
 # The benchmark ---------------------------------------------------------------
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -93,39 +89,57 @@ def item_seeds(items: DataFrame) -> DataFrame:
     return items.select("item", "words").mapInArrow(rows, "seed long, item long, place long")
 
 
-def seed_bitmap(stored: DataFrame) -> np.ndarray:
-    """The bitmap of the stored seeds: 2 MB, from at most 2^BITMAP_BITS places."""
-    place = F.shiftrightunsigned("seed", 64 - BITMAP_BITS).cast("int").alias("bit")
-    bits = stored.select(place).distinct().toArrow().column("bit").to_numpy()
-    flags = np.zeros(1 << BITMAP_BITS, bool)
-    flags[bits] = True
-    return np.packbits(flags, bitorder="little")
+def seed_places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits that stand for a seed: its upper and its lower ones."""
+    u = h.view(np.uint64)
+    return ((u >> np.uint64(64 - common.BITMAP_BITS)).astype(np.int64),
+            (u & np.uint64((1 << common.BITMAP_BITS) - 1)).astype(np.int64))
+
+
+def seed_bitmaps(stored: DataFrame) -> list[np.ndarray]:
+    """A bitmap of each of the two bits of the stored seeds."""
+    upper = F.shiftrightunsigned("seed", 64 - common.BITMAP_BITS)
+    lower = F.col("seed").bitwiseAND(F.lit((1 << common.BITMAP_BITS) - 1))
+    return [common.bitmap(stored.select(place.cast("int"))) for place in (upper, lower)]
 
 
 # Documents -------------------------------------------------------------------
 
-def possible_hits(docs: DataFrame, bitmap: np.ndarray, short: list[int]) -> DataFrame:
-    """(doc_id, seed, at) of the windows whose seed is in the bitmap."""
+SUSPECTS = "key long, doc_id long, text string, seeds array<long>, places array<long>"
+
+
+def suspects(docs: DataFrame, bitmaps: list[np.ndarray], short: list[int]) -> DataFrame:
+    """(key, doc_id, text, seeds, places) of the documents with windows whose
+    seeds are in both bitmaps, and those seeds with their word places."""
     masks = [*MASKS, *["1" * n for n in short]]
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
-    def rows(batches):
+    def search(batches):
         for part in common.slices(batches, "text"):
             words, at = text_words(common.text_column(part, "text"))
-            ids = part.column(0)
+            docs_hit, seeds_hit, places_hit = [], [], []
             for mask in masks:
                 found = seeds(words, mask)
-                if not len(found):
-                    continue
-                bit = _bit(found)
-                hit = np.flatnonzero(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                upper, lower = seed_places(found)
+                hit = np.flatnonzero(common.in_bitmap(bitmaps[0], upper))
+                hit = hit[common.in_bitmap(bitmaps[1], lower[hit])]
                 doc = np.searchsorted(at, hit, "right") - 1
                 inside = hit + len(mask) <= at[doc + 1]  # windows do not run over a text's end
                 hit, doc = hit[inside], doc[inside]
-                if len(hit):
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(doc)), pa.array(found[hit]), pa.array(hit - at[doc])], names=["doc_id", "seed", "at"])
-
-    return docs.mapInArrow(rows, "doc_id long, seed long, at long")
+                docs_hit.append(doc)
+                seeds_hit.append(found[hit])
+                places_hit.append(hit - at[doc])
+            doc = np.concatenate(docs_hit)
+            if not len(doc):
+                continue
+            order = np.argsort(doc, kind="stable")
+            own, first = np.unique(doc[order], return_index=True)
+            cuts = pa.array(np.append(first, len(order)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(x)[order])) for x in (seeds_hit, places_hit)]
+            chosen = part.take(pa.array(own))
+            yield pa.RecordBatch.from_arrays([*chosen.columns, *lists], names=["key", "doc_id", "text", "seeds", "places"])
+
+    return rows.mapInArrow(search, SUSPECTS)
 
 
 def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
@@ -154,13 +168,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(benchmark_items(benchmark), "seed_items")
     stored = written(item_seeds(items), "seeds")
     short = [r[0] for r in items.select(F.size("words")).where(F.size("words") < SPAN).distinct().collect()]
-    hits = possible_hits(rows, seed_bitmap(stored), sorted(short))
-    shifts = hits.join(stored, "seed").select("doc_id", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
-    shifts = shifts.groupBy("doc_id", "item").agg(F.collect_list("shift").alias("shifts"))
-    pairs = written(shifts.join(items, "item").select("doc_id", "item_id", "words", "shifts"), "seed_pairs")
-    per_doc = pairs.groupBy(F.col("doc_id").alias("_d")).agg(F.collect_list(F.struct("item_id", "words", "shifts")).alias("near"))
-    near = written(per_doc, "seed_documents")
-    found = rows.join(near, rows["doc_id"].eqNullSafe(near["_d"])).select("doc_id", "text", "near")
+    near = written(suspects(rows, seed_bitmaps(stored), sorted(short)), "seed_suspects")
+    hits = near.select("key", F.explode(F.arrays_zip("seeds", "places")).alias("_h"))
+    hits = hits.select("key", F.col("_h.seeds").alias("seed"), F.col("_h.places").alias("at"))
+    shifts = hits.join(stored, "seed").select("key", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    shifts = shifts.groupBy("key", "item").agg(F.collect_list("shift").alias("shifts"))
+    laid = shifts.join(items, "item").groupBy("key").agg(F.collect_list(F.struct("item_id", "words", "shifts")).alias("near"))
+    found = near.join(written(laid, "seed_pairs"), "key").select("doc_id", "text", "near")
 
     def overlaps(batches):
         for part in common.slices(batches, "text"):
