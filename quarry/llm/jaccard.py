@@ -11,8 +11,10 @@ pair has to pass under several orders before it is verified:
 
 Equal sets form one class with one representative, so copies are never paired.
 Components only need enough links to hold together: a document is first compared
-with one hub per token list (as many pairs as documents); then all pairs across
-components that are left are compared, so no link between components is lost.
+with the hub of its token lists, then with the middle of the component it meets
+most (as many pairs as documents); then all pairs across components that are
+left, and that their measures against a common middle do not rule out, are
+compared, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import common
 from quarry.llm.common import written
+from quarry.session import scratch_path, unique_name
 
 WORDS = 5
 PERCENT = 75
@@ -59,10 +62,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, hasher=common.WordHasher
         if b - a >= WORDS:
             sets.append(np.unique(rolled[a: b - WORDS + 1]))
         elif b > a:  # the whole sequence is one shingle
-            h = np.uint64(b - a)
-            for k, w in enumerate(words[a:b]):
-                h = h + common.mixed(w[None] * np.uint64(_FACTORS[k]))[0] * np.uint64(_FACTORS[-1 - k])
-            sets.append(common.mixed(np.array([h], np.uint64)).view(np.int64))
+            h = np.array([b - a], np.uint64)
+            for k, w in enumerate(words[a:b, None]):
+                h = h + common.mixed(w * np.uint64(_FACTORS[k])) * np.uint64(_FACTORS[-1 - k])
+            sets.append(common.mixed(h).view(np.int64))
         else:
             sets.append(np.zeros(0, np.int64))
     return sets
@@ -124,8 +127,21 @@ def _by(*keys):
 
 
 def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
-    """(rep, n, set) of the living classes, from their representatives' texts."""
-    rows = _texts(docs).join(living.select(F.col("rep"), F.col("sig")), F.col("doc_id") == F.col("rep")).select("rep", "sig", "text")
+    """(rep, n, set) of the living classes, from their representatives' texts.
+
+    A bitmap of the ids (of fixed size) keeps most other texts out of the join.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << common.BITMAP_BITS)).cast("int")
+    bits = common.bitmap(living.select(place(F.col("rep"))))
+    rows = _texts(docs).select(place(F.col("doc_id")).alias("place"), "doc_id", "text")
+
+    def chosen(batches):
+        for batch in batches:
+            keep = common.in_bitmap(bits, batch.column(0).to_numpy())
+            yield batch.select([1, 2]).filter(pa.array(keep))
+
+    rows = rows.mapInArrow(chosen, "doc_id long, text string")
+    rows = rows.join(living.select("rep", "sig"), F.col("doc_id") == F.col("rep")).select("rep", "sig", "text")
 
     def sets(batches):
         for part in common.slices(batches, "text"):
@@ -139,36 +155,76 @@ def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
     return rows.mapInArrow(sets, "rep long, n long, set array<long>").dropDuplicates(["rep"])
 
 
+def bucketed(sets: DataFrame) -> DataFrame:
+    """``sets`` as a table in buckets of ``rep``: the joins of every round find
+    the sets where they lie and move only pairs."""
+    spark = sets.sparkSession
+    name = unique_name("jaccard_sets")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets.repartition(n, "rep").write.bucketBy(n, "rep").option("path", scratch_path(spark, "llm/sets")).saveAsTable(name)
+    return spark.table(name)
+
+
 def prefix_lists(sets: DataFrame) -> DataFrame:
-    """(token, rep, n, at, size): prefixes in order of document frequency.
+    """(token, rep, n, at, size, middle): prefixes in order of document frequency.
 
     Tokens of one set only come first and meet nothing; ``at`` counts the others
-    before a token, ``size`` is their number.
+    before a token, ``size`` is their number.  ``middle`` tells how much of a set
+    others share: among copies with edits it is greatest for their original.
     """
     tokens = sets.select("rep", "n", F.explode("set").alias("token"))
     shared = tokens.withColumn("df", F.count("*").over(_by("token"))).where("df > 1")
-    ordered = shared.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("_t"))
+    ordered = shared.groupBy("rep", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("_t"), (F.sum(F.log2("df")) / F.col("n")).alias("middle"))
     ordered = ordered.withColumn("size", F.size("_t").cast("long"))
     places = F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100) + 1 - (F.col("n") - F.col("size"))
     ordered = ordered.withColumn("_k", places.cast("int")).where("_k > 0")
-    return ordered.select("rep", "n", "size", F.posexplode(F.slice("_t", F.lit(1), F.col("_k"))).alias("at", "_x")).select(
-        F.col("_x.token").alias("token"), "rep", "n", "at", "size")
+    return ordered.select("rep", "n", "size", "middle", F.posexplode(F.slice("_t", F.lit(1), F.col("_k"))).alias("at", "_x")).select(
+        F.col("_x.token").alias("token"), "rep", "n", "at", "size", "middle")
+
 
+MEASURED = "a long, b long, similar boolean, shared long, other0 long, other1 long, other2 long, other3 long, folded long"
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of representatives that are similar: those that share
-    tokens of both hash-ordered prefixes, and then enough tokens."""
+
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of representatives with ``similar`` (they share tokens of
+    both hash-ordered prefixes, and then enough tokens), ``shared`` (common
+    tokens), and a's other tokens as 256 bits; ``folded`` counts those that found
+    their bit taken."""
     left = sets.select(F.col("rep").alias("a"), F.col("set").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("set").alias("y"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
 
-    def similar(batches):
+    def measure(batches):
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            keep = [similar_sets(np.asarray(x[k].values), np.asarray(y[k].values)) for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            rows = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.asarray(x.values), np.asarray(y.values)
+                others = np.setdiff1d(x, y, assume_unique=True)
+                bits = np.unique(others & 255)
+                words = [int(np.bitwise_or.reduce(np.uint64(1) << (bits[bits >> 6 == k] & 63).astype(np.uint64), initial=0).view(np.int64))
+                         for k in range(4)]
+                rows.append((similar_sets(x, y), len(x) - len(others), *words, len(others) - len(bits)))
+            columns = list(zip(*rows)) or [()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(columns[0], pa.bool_()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+                names=[c.split()[0] for c in MEASURED.split(", ")])
 
-    return both.mapInArrow(similar, "a long, b long")
+    return both.mapInArrow(measure, MEASURED)
+
+
+def may_reach(one: str, other: str) -> Column:
+    """Whether two sets can have enough tokens in common, as far as their
+    measures against the same third set tell (true if there are none).
+
+    Common tokens lie in the third set, at most ``shared`` of either, or outside,
+    at most as many as their bits have in common and folded ones.
+    """
+    c = lambda name, side: F.col(name + side)
+    bits = sum((F.bit_count(c(f"other{k}", one).bitwiseAND(c(f"other{k}", other))) for k in range(4)), F.lit(0))
+    most = F.least(c("shared", one), c("shared", other)) + bits + F.least(c("folded", one), c("folded", other))
+    reach = (100 + PERCENT) * most >= PERCENT * (c("n", one) + c("n", other))
+    return F.coalesce((c("hub", one) != c("hub", other)) | reach, F.lit(True))
 
 
 def similar_sets(x: np.ndarray, y: np.ndarray) -> bool:
@@ -217,26 +273,52 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """(rep, comp) over all links of the sets."""
     labels = written(sets.select("rep", F.col("rep").alias("comp")), "jaccard_components")
-    for turn in range(STAR_ROUNDS):
-        rows = lists.select("token", "rep", "n").join(labels, "rep")
-        hubs = rows.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"),
-                                         F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep", "comp", "n")).alias("_h"))
-        hubs = hubs.where("_a <> _b").select("token", F.col("_h.rep").alias("hub"), F.col("_h.comp").alias("_hc"),
-                                             F.col("_h.n").alias("_hn"))
-        near = rows.join(hubs, "token").where((F.col("comp") != F.col("_hc")) & _sizes_fit(F.col("n"), F.col("_hn")))
-        best = near.groupBy("rep", "hub").agg(F.count("*").alias("_c")).groupBy("rep").agg(
-            F.max(F.struct("_c", "hub")).alias("_h")).select(F.col("rep").alias("a"), F.col("_h.hub").alias("b"))
-        labels = merged(labels, written(verified(written(best, "jaccard_star"), sets), "jaccard_links"))
-    rows = lists.join(labels, "rep")
+    measures = None
+    for choose in (list_hubs, centers)[:STAR_ROUNDS]:
+        rows = lists.select("token", "rep", "n", "middle").join(labels, "rep")
+        measures = written(measured(written(choose(rows), "jaccard_star"), sets), "jaccard_links")
+        labels = merged(labels, measures.where("similar"))
+    if measures:
+        measures = measures.drop("similar").withColumnsRenamed({"a": "rep", "b": "hub"})
+    rows = lists.drop("middle").join(labels, "rep")
     mixed_lists = rows.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b").select("token")
-    rows = written(rows.join(mixed_lists, "token", "left_semi"), "jaccard_rest")
-    one, other = (rows.select("token", *[F.col(c).alias(c + side) for c in ("rep", "n", "at", "size", "comp")]) for side in ("1", "2"))
+    rows = rows.join(mixed_lists, "token", "left_semi")
+    told = ["hub", "shared", "other0", "other1", "other2", "other3", "folded"]
+    rows = rows.join(measures, "rep", "left") if measures else rows.withColumns({c: F.lit(None).cast("long") for c in told})
+    rows = written(rows, "jaccard_rest")
+    one, other = (rows.select("token", *[F.col(c).alias(c + side) for c in ("rep", "n", "at", "size", "comp", *told)]) for side in ("1", "2"))
     most = (F.least("at1", "at2") + F.least(F.col("size1") - F.col("at1"), F.col("size2") - F.col("at2")))
     pairs = one.join(other, "token").where(
         (F.col("rep1") < F.col("rep2")) & (F.col("comp1") != F.col("comp2")) & _sizes_fit(F.col("n1"), F.col("n2"))
-        & ((100 + PERCENT) * most >= PERCENT * (F.col("n1") + F.col("n2"))))
+        & ((100 + PERCENT) * most >= PERCENT * (F.col("n1") + F.col("n2"))) & may_reach("1", "2"))
     pairs = pairs.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
-    return merged(labels, written(verified(written(pairs, "jaccard_pairs"), sets), "jaccard_links"))
+    return merged(labels, written(measured(written(pairs, "jaccard_pairs"), sets), "jaccard_links").where("similar"))
+
+
+def _hub_of_list(rows: DataFrame) -> DataFrame:
+    """Per token, its row of greatest ``middle``, and whether components differ."""
+    hubs = rows.groupBy("token").agg((F.min("comp") != F.max("comp")).alias("_mixed"),
+                                     F.max(F.struct("middle", "rep", "comp", "n")).alias("_h"))
+    return hubs.select("token", "_mixed", F.col("_h.rep").alias("hub"), F.col("_h.comp").alias("_hc"), F.col("_h.n").alias("_hn"))
+
+
+def list_hubs(rows: DataFrame) -> DataFrame:
+    """(a, b): each representative with the hub, of another component, that it
+    meets in most lists."""
+    near = rows.join(_hub_of_list(rows).where("_mixed"), "token").where(
+        (F.col("comp") != F.col("_hc")) & _sizes_fit(F.col("n"), F.col("_hn")))
+    return near.groupBy("rep", "hub").agg(F.count("*").alias("_c")).groupBy("rep").agg(
+        F.max(F.struct("_c", "hub")).alias("_h")).select(F.col("rep").alias("a"), F.col("_h.hub").alias("b"))
+
+
+def centers(rows: DataFrame) -> DataFrame:
+    """(a, b): each representative with the middle of the component that it
+    meets in most lists, its own or another."""
+    middles = rows.groupBy("comp").agg(F.max(F.struct("middle", "rep")).alias("_m")).select(
+        F.col("comp").alias("_hc"), F.col("_m.rep").alias("b"))
+    met = rows.join(_hub_of_list(rows), "token").groupBy("rep", "_hc").agg(F.count("*").alias("_c"))
+    best = met.groupBy("rep").agg(F.max(F.struct("_c", "_hc")).alias("_h")).select(F.col("rep").alias("a"), F.col("_h._hc").alias("_hc"))
+    return best.join(middles, "_hc").where("a <> b").select("a", "b")
 
 
 def _sizes_fit(n: Column, m: Column) -> Column:
@@ -259,7 +341,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     slim = heads.select("doc_id", "n", "sig")
     classes = written(slim.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "jaccard_classes")
     living = written(alive(heads, classes), "jaccard_alive")
-    sets = written(sets_of(docs, living), "jaccard_sets")
+    sets = bucketed(sets_of(docs, living))
     lists = written(prefix_lists(sets), "jaccard_lists")
     labels = linked_components(lists, sets)
     named = classes.join(labels, "rep", "left").select("sig", "n", F.coalesce("comp", "rep").alias("comp"))
