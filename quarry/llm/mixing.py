@@ -111,21 +111,47 @@ def mix_sources(docs: DataFrame, share: float = SHARE, weights=WEIGHTS) -> DataF
     half the size of one boundary document (or of equal rows).
     """
     slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), text_size(F.col("text")).alias("size"),
-                       hash60(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("hash"))
+                       document_hash().alias("hash"))
     return mix_sized(written(slim, "mix_sizes"), share, weights)
 
 
-def mix_sized(slim: DataFrame, share: float = SHARE, weights=WEIGHTS) -> DataFrame:
-    """The mix of documents with known ``size`` and ``hash`` (60 bits)."""
+def document_hash() -> Column:
+    return hash60(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def mixed_rows(docs: DataFrame, share: float = SHARE, weights=WEIGHTS) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Only the thresholds (a row per source) are joined to the texts.
+    """
+    own = docs.columns
+    slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), text_size(F.col("text")).alias("size"),
+                       document_hash().alias("hash"))
+    plan = mix_plan(written(slim, "mix_sizes"), share, weights)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col("source").cast("string").alias("_source"),
+                       document_hash().alias("hash"))
+    taken = rows.join(plan, rows["_source"].eqNullSafe(plan["_s"]))
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), copies())).alias("_n")).select("row.*")
+
+
+def mix_plan(slim: DataFrame, share: float, weights) -> DataFrame:
+    """(_s, source_size, target, _base, threshold) per source."""
     targets = written(source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), share, weights),
                       "mix_targets")
     whole = F.col("target") > F.col("source_size")
     budgets = targets.select("source", (F.col("target") - F.when(whole, F.col("source_size")).otherwise(0)).alias("budget"))
     cuts = thresholds(slim, budgets).withColumnRenamed("source", "_c")
-    plan = targets.join(cuts, targets["source"].eqNullSafe(cuts["_c"]), "left").select(
-        F.col("source").alias("_s"), "source_size", "target", whole.cast("int").alias("_base"), "threshold")
-    plan = written(plan, "mix_plan")
+    return written(targets.join(cuts, targets["source"].eqNullSafe(cuts["_c"]), "left").select(
+        F.col("source").alias("_s"), "source_size", "target", whole.cast("int").alias("_base"), "threshold"), "mix_plan")
+
+
+def copies() -> Column:
+    return F.col("_base") + (F.col("hash") < F.col("threshold")).cast("int")
+
+
+def mix_sized(slim: DataFrame, share: float = SHARE, weights=WEIGHTS) -> DataFrame:
+    """The mix of documents with known ``size`` and ``hash`` (60 bits)."""
+    plan = mix_plan(slim, share, weights)
     out = slim.join(plan, slim["source"].eqNullSafe(plan["_s"]))
-    copies = F.col("_base") + (F.col("hash") < F.col("threshold")).cast("int")
-    return out.select("doc_id", "source", "size", "hash", "source_size", "target", copies.alias("copies"),
-                      (F.col("size") * copies).alias("taken"))
+    return out.select("doc_id", "source", "size", "hash", "source_size", "target", copies().alias("copies"),
+                      (F.col("size") * copies()).alias("taken"))

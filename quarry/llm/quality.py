@@ -53,35 +53,29 @@ def count_matches(text: Column, character_class: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, character_class, ""))
 
 
-def repeated_words(words: Column, n: Column) -> Column:
-    """Words inside windows of ``WINDOW`` words that the text has more than once.
-
-    Windows are first told apart by hash; only a text whose hashes repeat goes
-    on: its windows are sorted by (hash, words, place), so equal ones are
-    neighbours, and the places of those are merged.
-    """
-    last = n - F.lit(WINDOW - 1)
-    places = F.sequence(F.lit(0), last - 1)
-    hashes = F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))
-    entries = F.array_sort(F.transform(places, lambda i: F.struct(
-        F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]).alias("h"),
-        F.slice(words, i + 1, WINDOW).alias("w"), i.alias("i"))))
-    return last, hashes, entries
+def window_hash(words: Column, i: Column) -> Column:
+    return F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)])
 
 
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_words`` (the words) and the counts n_words, word_chars,
-    n_symbols, n_dup_lines, n_repeat_words (long)."""
+    n_symbols, n_dup_lines, n_repeat_words (long).
+
+    Repeated windows are first told apart by hash; only a text whose hashes
+    repeat goes on: its windows are sorted by (hash, words, place), so equal
+    ones are neighbours, and the places of those are merged.
+    """
     text_of = F.coalesce(F.col(text).cast("string"), F.lit(""))
     out = docs.withColumn("_text", text_of)
     out = out.withColumn("_words", word_list(F.col("_text")))
     out = out.withColumn("n_words", F.size("_words").cast("long"))
     out = out.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda s: s.rlike("[^\\x20\\x09-\\x0D]")))
     words, n = F.col("_words"), F.col("n_words").cast("int")
-    last, hashes, _ = repeated_words(words, n)
-    out = out.withColumn("_hashes", F.when(n >= WINDOW, hashes))
+    places = F.sequence(F.lit(0), n - WINDOW)
+    out = out.withColumn("_hashes", F.when(n >= WINDOW, F.transform(places, lambda i: window_hash(words, i))))
     out = out.withColumn("_repeats", F.coalesce(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), F.lit(False)))
-    _, _, entries = repeated_words(words, n)
+    entries = F.array_sort(F.transform(places, lambda i: F.struct(
+        window_hash(words, i).alias("h"), F.slice(words, i + 1, WINDOW).alias("w"), i.alias("i"))))
     out = out.withColumn("_entries", F.when(F.col("_repeats"), entries))
     e = F.col("_entries")
     same = lambda a, b: (a["h"] == b["h"]) & (a["w"] == b["w"])
@@ -144,3 +138,10 @@ def quality_rules(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame
             passes &= F.coalesce(F.col(name) <= most, F.lit(True))
     return (out.withColumn("base_failed", failed).withColumn("kept", ~failed & passes)
             .drop("_text", "_words", "_lines"))
+
+
+def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their own columns."""
+    own = docs.columns
+    packed = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
+    return quality_rules(packed, "text", rules).where("kept").select("row.*")
