@@ -2,7 +2,8 @@
 
 A word is the average of the vectors of its character n-grams (with marks for
 its ends, hashed into ``BUCKETS``), a window of ``WINDOW`` words the average of
-its words (a shorter window is filled up with zeros), and two linear units with a softmax give the probability of a window.
+its words (a shorter window is filled up with zeros), and two linear units with
+a softmax give the probability of a window.
 A text scores as its strongest window, so a long text doesn't thin out a few
 words.  Vectors and units are trained jointly in numpy on a bounded sample of
 labelled rows.  Since all is linear before the softmax, scoring needs one number
@@ -36,8 +37,6 @@ DECAY = 1e-6
 WEIGHT_ONE = 0.4
 _FACTORS = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                        0xFF51AFD7ED558CCD)]
-
-
 WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 
 
@@ -117,7 +116,8 @@ class _Adam:
         values[rows] -= rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.99 ** self.t)) + 1e-8)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7, steps: int = 150, warm: int = 60, rate: float = 0.05) -> Model:
+def train(texts: list[str], labels: list[int], seed: int = 7, steps: int = 150, warm: int = 60,
+          rate: float = 0.05) -> Model:
     """Trains vectors and softmax together.
 
     The first ``warm`` steps take random windows of all texts under their text's
