@@ -41,7 +41,7 @@ def _least_overlap(n):
 
 def _extra(n):
     """Common tokens asked of the longer prefixes in the first filter."""
-    return 1 + n // 32
+    return 1 + n // 16
 
 
 def _prefix(n, extra=1):
@@ -116,7 +116,7 @@ def alive(heads: DataFrame, classes: DataFrame) -> DataFrame:
     bounds = lists.withColumns({"_a": F.min("sig").over(_by("token")), "_b": F.max("sig").over(_by("token"))})
     met = bounds.where("_a <> _b").groupBy("sig").agg(F.count("*").alias("met"))
     # the partner may be smaller, by a quarter at most
-    need = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 32)
+    need = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 16)
     return classes.join(met, "sig").where((F.col("met") >= need) & F.col("rep").isNotNull()).select("sig", "n", "rep")
 
 
@@ -287,7 +287,8 @@ def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     rows = rows.join(measures, "rep", "left") if measures else rows.withColumns({c: F.lit(None).cast("long") for c in told})
     rows = written(rows, "jaccard_rest")
     one, other = (rows.select("token", *[F.col(c).alias(c + side) for c in ("rep", "n", "at", "size", "comp", *told)]) for side in ("1", "2"))
-    most = (F.least("at1", "at2") + F.least(F.col("size1") - F.col("at1"), F.col("size2") - F.col("at2")))
+    # what the first common token of a pair leaves of both sets; later ones may miss it
+    most = F.least(F.col("size1") - F.col("at1"), F.col("size2") - F.col("at2"))
     pairs = one.join(other, "token").where(
         (F.col("rep1") < F.col("rep2")) & (F.col("comp1") != F.col("comp2")) & _sizes_fit(F.col("n1"), F.col("n2"))
         & ((100 + PERCENT) * most >= PERCENT * (F.col("n1") + F.col("n2"))) & may_reach("1", "2"))
