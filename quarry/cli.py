@@ -35,6 +35,7 @@ from quarry.operators.keyed import (
 )
 from quarry.operators.ordering import top_k_by_key
 from quarry.plans import jobs
+from quarry.plans.jobs import SMALL_AMOUNT_LIMIT
 from quarry.plans import person_accounts as P
 from quarry.plans import time_usage as TU
 from quarry.functions.text import jvm_trim
@@ -44,7 +45,8 @@ from quarry.streaming.messages import start_message_stream
 
 
 def run_time_usage(spark: SparkSession, survey_path: str) -> dict[str, DataFrame]:
-    _, survey = read_headed_csv(spark, survey_path, where=TU.in_labour_force())
+    _, survey = read_headed_csv(
+        spark, survey_path, where=TU.in_labour_force(), where_cols=["telfs"], check_dropped=True)
     res = jobs.time_usage_job(spark, survey)
     return {"summary": res.shared, **res.outputs}
 
@@ -85,11 +87,10 @@ def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def run_trial(spark: SparkSession, rows_path: str) -> dict[str, DataFrame]:
     """Computed columns over ``place, placename, amount`` rows."""
-    # Fixed value of the trial job: amount < 25 is "small", else "big".
     t = _csv(spark, rows_path, "place int, placename string, amount int")
     return {"computed": t.select(
         (F.col("place") + F.col("amount")).alias("place_plus_amount"),
-        bucket("amount", [(lambda x: x < 25, "small")], "big").alias("size"),
+        bucket("amount", [(lambda x: x < SMALL_AMOUNT_LIMIT, "small")], "big").alias("size"),
         row_sum(["place", "amount"]).alias("sum_by_name"),
         row_sum([F.col("place"), F.col("amount")]).alias("sum_by_column"),
     )}

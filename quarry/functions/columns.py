@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Callable, Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,23 +14,19 @@ def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_FOLD_CHUNK = 32
-
-
 def _fold(terms: list[Column]) -> Column:
-    if len(terms) <= _FOLD_CHUNK:
-        return reduce(operator.add, terms)
-    chunks = [terms[i:i + _FOLD_CHUNK] for i in range(0, len(terms), _FOLD_CHUNK)]
-    return _fold([reduce(operator.add, c) for c in chunks])
+    if len(terms) == 1:
+        return terms[0]
+    half = (len(terms) + 1) // 2
+    return _fold(terms[:half]) + _fold(terms[half:])
 
 
 def row_sum(cols: Iterable[ColumnLike], scale: float | int | None = None) -> Column:
     """Sum a list of columns row by row, optionally divided by ``scale``.
 
-    Up to 32 columns are added left to right in the given order.  Longer
-    lists are added in left-to-right chunks of 32 whose sums are added the
-    same way, which keeps the expression tree shallow (a chain of hundreds
-    of additions overflows the analyzer's stack).  An empty list sums to
+    The columns are added as a balanced tree in the given order, whatever
+    their number, which keeps the expression shallow (a chain of hundreds of
+    additions overflows the analyzer's stack).  An empty list sums to
     ``0.0`` (a group with no member column contributes nothing).
     """
     terms = [_col(c) for c in cols]

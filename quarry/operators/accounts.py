@@ -2,7 +2,7 @@
 candidate selection.
 
 The reference model pairs each person with the list of their accounts.
-Lists are available in bounded chunks (:func:`accounts_by_person`), but jobs use
+Lists are available in bounded runs (:func:`accounts_by_person`), but jobs use
 :func:`account_profile`: one row per person built with partial aggregates
 (counts per type, first account of each type by lowest id, total balance).
 It answers every list predicate (exists, forall, first-of-type) while a
@@ -16,10 +16,10 @@ import operator
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import position_in_group
+from quarry.operators.ordering import position_in_group, sorted_tags
 
 # Fixed values of the accounts job: the account types, in declaration order.
 ACCOUNT_TYPES = ("SAVINGS", "CHEQUING", "CREDIT", "BROKER")
@@ -30,39 +30,34 @@ def _t(account_type: str) -> str:
 
 
 # ---------------------------------------------------------------- nested lists
-LIST_CHUNK = 100_000
-
-
-def accounts_by_person(accounts: DataFrame, chunk_size: int = LIST_CHUNK) -> DataFrame:
-    """``person_id, chunk, accounts``: each person's accounts as lists of
+def accounts_by_person(accounts: DataFrame) -> DataFrame:
+    """``person_id, run, accounts``: each person's accounts as lists of
     ``(id, type, balance)`` structs sorted by account id.
 
-    A person's sorted list is cut into consecutive chunks of at most
-    ``chunk_size`` accounts (chunk 0, 1, ...); concatenated in chunk order
-    they are the whole list, so no account is dropped and no row holds an
-    unbounded group.  Most persons have one chunk.  Positions come from
-    :func:`~quarry.operators.ordering.position_in_group` (sort + write).
+    The accounts are sorted by person and id once; a list is a run, the
+    consecutive accounts of a person inside one sorted partition, so no row
+    holds an unbounded group.  Runs 0, 1, ... of a person, one after another,
+    are the whole list.  Where a long list is cut depends on the partitioning;
+    most persons have one run.
     """
-    placed = position_in_group(accounts, "person_id", ["id"], "_q_pos")
-    return placed.groupBy(
-        "person_id", F.floor(F.col("_q_pos") / F.lit(chunk_size)).cast("long").alias("chunk")
-    ).agg(F.array_sort(F.collect_list(F.struct("id", "type", "balance"))).alias("accounts"))
-
-
-def list_has_type(accounts: Column | str, account_type: str) -> Column:
-    """Nested form: some account in the list has ``account_type``."""
-    return F.exists(accounts, lambda a: a["type"] == F.lit(account_type))
-
-
-def list_only_type(accounts: Column | str, account_type: str) -> Column:
-    """Nested form: every account in the list has ``account_type``."""
-    return F.forall(accounts, lambda a: a["type"] == F.lit(account_type))
-
-
-def list_first_balance(accounts: Column | str, account_type: str) -> Column:
-    """Nested form: balance of the first (lowest id) account of a type, or null."""
-    of_type = F.filter(accounts, lambda a: a["type"] == F.lit(account_type))
-    return F.get(F.transform(of_type, lambda a: a["balance"]), 0)
+    tagged = sorted_tags(accounts, ["person_id", "id"])
+    runs = tagged.groupBy("_q_part", "person_id").agg(
+        F.array_sort(F.collect_list(F.struct("id", "type", "balance"))).alias("accounts"))
+    number = F.row_number().over(Window.partitionBy("person_id").orderBy("_q_part")) - 1
+    return runs.select("person_id", number.cast("long").alias("run"), "accounts")
+
+
+def list_answers(lists: DataFrame, account_type: str) -> DataFrame:
+    """Per person, from the runs of its list: ``has`` (some account has the
+    type), ``only`` (all have it) and ``first`` (balance of the lowest id of
+    that type, or null); the same wherever the list is cut."""
+    of_type = F.filter("accounts", lambda a: a["type"] == F.lit(account_type))
+    first = F.get(of_type, 0)
+    return lists.groupBy("person_id").agg(
+        F.bool_or(F.size(of_type) > 0).alias("has"),
+        F.bool_and(F.size(of_type) == F.size("accounts")).alias("only"),
+        F.min_by(first["balance"], first["id"]).alias("first"),
+    )
 
 
 # --------------------------------------------------------------- profile form

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 
-# Functions of this module run inside Python tasks (mapInPandas); ship them
+# Functions of this module run inside Python tasks (mapInArrow); ship them
 # by value so executors do not need the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -88,14 +88,16 @@ def grouped_averages_typed(
 
 def _partial_sums(keys: list[str], values: list[str]):
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            g = pdf.groupby(keys, dropna=False, sort=False)[values]
-            sums = g.sum(min_count=0)
-            counts = g.count()
-            part = sums.add_suffix("__s").join(counts.add_suffix("__n")).reset_index()
-            yield part
+        import pyarrow as pa
+
+        wanted = [(v, how) for how in ("sum", "count") for v in values]
+        for batch in batches:
+            # Arrow skips nulls and keeps NaN, as Spark's avg does
+            found = pa.Table.from_batches([batch]).group_by(keys).aggregate(wanted)
+            columns = [found.column(k) for k in keys]
+            columns += [found.column(f"{v}_{how}").cast(pa.float64()) for v, how in wanted]
+            names = [*keys, *[f"{v}__{how[0] if how == 'sum' else 'n'}" for v, how in wanted]]
+            yield from pa.table(columns, names=names).combine_chunks().to_batches()
 
     return run
 
@@ -104,10 +106,10 @@ def grouped_averages_custom(
     df: DataFrame, keys: Sequence[str], values: Sequence[str], digits: int = 1,
     name_format: str = "{}",
 ) -> DataFrame:
-    """Custom aggregate: per Arrow batch, pandas computes partial ``(sum, count)``
+    """Custom aggregate: per batch, Arrow computes partial ``(sum, count)``
     per group (the map-side combine); Spark then merges the partials with
     built-in sums and divides.  Memory per task is one batch, whatever the
-    group sizes.  Nulls are skipped as ``avg`` does.
+    group sizes.  Nulls are skipped and NaN counts, as with ``avg``.
     """
     keys, values = list(keys), list(values)
     key_fields = [df.schema[k] for k in keys]
@@ -116,7 +118,7 @@ def grouped_averages_custom(
         + [StructField(f"{v}__s", DoubleType()) for v in values]
         + [StructField(f"{v}__n", DoubleType()) for v in values]
     )
-    partials = df.select(*keys, *[F.col(v).cast("double") for v in values]).mapInPandas(
+    partials = df.select(*keys, *[F.col(v).cast("double") for v in values]).mapInArrow(
         _partial_sums(keys, values), part_schema
     )
     merged = partials.groupBy(*keys).agg(

@@ -10,21 +10,11 @@ from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 from quarry.operators.partitioning import spread
 
-# A lookup side is broadcast only when a bounded pass over it shows at most
-# this many rows and bytes; above either, the join is shuffled (and AQE may
-# still re-plan it from runtime sizes).
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def sum_by_key(df: DataFrame, key: str, value: str, name: str = "total") -> DataFrame:
     """Sum of ``value`` per ``key`` with map-side combine (partial + final)."""
     return df.groupBy(key).agg(F.sum(value).alias(name))
 
 
-GATHER_BLOCK = 100_000  # rows of one input split per gathered list, at most
-
-
 def _sum_type(dt: DataType) -> str:
     """The type ``sum`` gives for a column type (long, wide decimal or double)."""
     if isinstance(dt, IntegralType):
@@ -35,31 +25,36 @@ def _sum_type(dt: DataType) -> str:
 
 
 def sum_by_key_gathered(
-    df: DataFrame, key: str, value: str, name: str = "total", block: int = GATHER_BLOCK
+    df: DataFrame, key: str, value: str, name: str = "total", block: int = 100_000
 ) -> DataFrame:
     """Sum per key by first gathering the values into lists, then summing
     each list.
 
-    Values are gathered per input split, block of ``block`` scanned rows
-    and key, so a list never holds more than ``block`` values however many
-    rows the key has (the split and the row's place in it come from
-    ``monotonically_increasing_id`` at the scan, stable under task
-    retries).  Each list is summed with ``aggregate`` and the list sums
-    are combined per key (partial + final).  Same result as
-    :func:`sum_by_key`.
+    Values are gathered per Arrow batch (cut into blocks of ``block`` rows)
+    and key inside the scanning task (``mapInArrow``), so a list never holds
+    more than a block, and only the list sums reach the shuffle.  Same result as :func:`sum_by_key` (sums of
+    doubles may differ in the last bits); jobs use that one, which needs no
+    pass through Python.
     """
-    mid = F.monotonically_increasing_id()
     acc_type = _sum_type(df.schema[value].dataType)
-    tagged = df.select(
-        F.col(key), F.col(value).cast(acc_type).alias(value),
-        F.shiftright(mid, 33).alias("_q_src"),
-        F.floor(mid.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(block)).alias("_q_blk"),
-    )
-    lists = tagged.groupBy("_q_src", "_q_blk", key).agg(F.collect_list(value).alias("_q_vals"))
-    sums = lists.select(
-        key, F.aggregate("_q_vals", F.lit(0).cast(acc_type), lambda acc, x: acc + x).alias("_q_sum")
-    )
-    return sums.groupBy(key).agg(F.sum("_q_sum").alias(name))
+    rows = df.select(F.col(key).alias("_q_key"), F.col(value).cast(acc_type).alias("_q_val"))
+    key_type = df.schema[key].dataType.simpleString()
+
+    def list_sums(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            for first in range(0, batch.num_rows, block):
+                part = pa.Table.from_batches([batch.slice(first, block)])
+                lists = part.group_by("_q_key").aggregate([("_q_val", "list")])
+                sums = [pc.sum(v.values).as_py() for v in lists.column("_q_val_list").combine_chunks()]
+                yield pa.RecordBatch.from_arrays(
+                    [lists.column("_q_key").combine_chunks(), pa.array(sums, batch.schema.field("_q_val").type)],
+                    names=["_q_key", "_q_sum"])
+
+    sums = rows.mapInArrow(list_sums, f"_q_key {key_type}, _q_sum {acc_type}")
+    return sums.groupBy(F.col("_q_key").alias(key)).agg(F.sum("_q_sum").alias(name))
 
 
 def characters(text: Column | str) -> Column:
@@ -113,26 +108,14 @@ def char_totals(df: DataFrame, text_col: str) -> DataFrame:
     )
 
 
-def _broadcast_if_small(
-    lookup: DataFrame, key: str, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Hint a broadcast only after checking size: one pass over at most
-    ``max_rows + 1`` rows counts them, their distinct keys and their bytes
-    (the text length of every column plus 16 per row).  A small lookup
-    with a repeated key is refused: a map has one value per key."""
-    size = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in lookup.columns),
-        F.lit(16),
-    )
-    n, keys, nbytes = lookup.limit(max_rows + 1).agg(
-        F.count(F.lit(1)), F.count_distinct(F.col(key)), F.coalesce(F.sum(size), F.lit(0))
-    ).first()
-    if n > max_rows or nbytes > max_bytes:
-        return lookup
-    nulls = lookup.where(F.col(key).isNull()).limit(1).count() if keys < n else 0
-    if keys + nulls < n:
-        raise ValueError(f"lookup keys are not unique ({n} rows, {keys} distinct keys)")
-    return F.broadcast(lookup)
+def _map_side(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """``_q_lk, _q_lv``: one row per key.  A key that the lookup holds more than
+    once fails the job when it runs, at any size; null keys match nothing and
+    are left out."""
+    counted = lookup.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_q_lk")).agg(
+        F.count(F.lit(1)).alias("_q_c"), F.first(value).alias("_q_v"))
+    repeated = F.raise_error(F.concat(F.lit("lookup keys are not unique: "), F.col("_q_lk").cast("string")))
+    return counted.select("_q_lk", F.when(F.col("_q_c") > 1, repeated).otherwise(F.col("_q_v")).alias("_q_lv"))
 
 
 def lookup_with_default(
@@ -143,17 +126,17 @@ def lookup_with_default(
     lookup_value: str,
     default=0,
     name: str = "m",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """Append ``name`` = ``lookup[key]``, or ``default`` when the key is absent.
 
-    ``lookup`` is a map: its keys must be unique (checked when it is small
-    enough to broadcast).  It is broadcast when its checked size allows (so
-    a hot key on ``df`` costs nothing extra), and joined by shuffle
-    otherwise.
+    ``lookup`` is a map: its keys must be unique, which is checked while the
+    job runs by an aggregate over the lookup (no job runs here).  Spark picks
+    the join by its size estimates, or by sizes measured at run time (AQE),
+    under ``spark.sql.autoBroadcastJoinThreshold``; ``join_hint`` overrides it.
     """
-    side = lookup.select(F.col(lookup_key).alias("_q_lk"), F.col(lookup_value).alias("_q_lv"))
-    side = _broadcast_if_small(side, "_q_lk", max_broadcast_rows)
+    side = _map_side(lookup, lookup_key, lookup_value)
+    side = side.hint(join_hint) if join_hint else side
     joined = df.join(side, df[key] == side["_q_lk"], "left")
     return joined.select(
         *[df[c] for c in df.columns], F.coalesce(F.col("_q_lv"), F.lit(default)).alias(name)
@@ -168,7 +151,7 @@ def lookup_penalty(
     lookup_value: str,
     min_key: int = 2,
     name: str = "total",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """With ``m = lookup[i]`` (default 0): keep ``i > min_key``, take
     ``(i - m) * m``, keep negative values and sum them per ``i`` (integral
@@ -185,13 +168,10 @@ def lookup_penalty(
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_q_n"))
     )
-    m = lookup_with_default(
-        counts, key, lookup, lookup_key, lookup_value, 0, "_q_m", max_broadcast_rows
-    )
-    value = (F.col(key) - F.col("_q_m")) * F.col("_q_m")
-    return m.where(value < 0).select(
-        key, (value.cast("long") * F.col("_q_n")).alias(name)
-    )
+    m = lookup_with_default(counts, key, lookup, lookup_key, lookup_value, 0, "_q_m", join_hint)
+    found = F.col("_q_m").cast("long")
+    value = (F.col(key).cast("long") - found) * found
+    return m.where(value < 0).select(key, (value * F.col("_q_n")).alias(name))
 
 
 def running_metrics(df: DataFrame, col: str) -> DataFrame:

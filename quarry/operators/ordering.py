@@ -22,8 +22,9 @@ def sorted_tags(
     inside it): the global order is ``(_q_part, _q_pos)``.
 
     The frame is range-partitioned and sorted; ties in ``order_by`` are
-    broken by input position, so a heavily repeated key is still split over
-    many partitions.  With ``order_by=None`` the rows keep the frame's own
+    broken by a hash of the row and then by its columns, values that do not
+    change when a task is repeated, so a heavily repeated key is still split
+    over many partitions (rows equal in every column stay together).  With ``order_by=None`` the rows keep the frame's own
     order (partition by partition, as ``zipWithIndex`` numbers them) and
     nothing is shuffled.  Writing the tags cuts the lineage: a lost executor
     cannot renumber rows, and later steps depend only on stored values.
@@ -32,13 +33,11 @@ def sorted_tags(
     """
     spark = df.sparkSession
     location = path or scratch_path(spark, "row-index")
-    ordered = (
-        df.withColumn("_q_in", F.monotonically_increasing_id())
-        .orderBy(*order_by, "_q_in")
-        .drop("_q_in")
-        if order_by is not None
-        else df
-    )
+    ordered = df
+    if order_by is not None:
+        ties = [f for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+        named = [F.col(f"`{f.name}`") for f in ties]
+        ordered = df.withColumn("_q_tie", F.xxhash64(*named)).orderBy(*order_by, "_q_tie", *named).drop("_q_tie")
     ordered.withColumn("_q_mid", F.monotonically_increasing_id()).write.mode(
         "errorifexists"
     ).parquet(location)
@@ -62,8 +61,8 @@ def with_row_index(
     :func:`sorted_tags`.  Per-partition counts, read from the tag column
     only, give offsets (one row per partition, a size bounded by the
     partition count) that are broadcast back onto the rows.  No step moves
-    all rows to one partition.  Ties in ``order_by`` are numbered in input
-    order; pass a unique key for a reproducible index.  ``order_by=None``
+    all rows to one partition.  Ties in ``order_by`` are numbered by the
+    rows' own columns, so a rerun numbers them alike.  ``order_by=None``
     numbers the rows in the frame's current order without sorting (the
     frame is still written once, so the numbering cannot change).
 

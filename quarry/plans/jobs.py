@@ -20,17 +20,33 @@ from quarry.operators.reports import REPORTS, register_view, report
 from quarry.plans import person_accounts as P
 from quarry.plans import time_usage as TU
 from quarry.plans.trades import save_events_table, trade_events
-from quarry.session import unique_name
+from quarry.session import release_scratch, scratch_mark, unique_name
+
+
+# Fixed value of the trial job: amount < 25 is "small", else "big".
+SMALL_AMOUNT_LIMIT = 25
 
 
 @dataclass
 class JobResult:
     shared: DataFrame
     outputs: dict[str, DataFrame] = field(default_factory=dict)
+    views: list[str] = field(default_factory=list)
+    mark: int | None = None
 
     def unpersist(self) -> None:
         self.shared.unpersist()
 
+    def release(self) -> None:
+        """Drop the cache, the views and the scratch folders of the job; its
+        outputs cannot be read afterwards."""
+        self.unpersist()
+        spark = self.shared.sparkSession
+        for view in self.views:
+            spark.catalog.dropTempView(view)
+        if self.mark is not None:
+            release_scratch(spark, self.mark)
+
 
 def time_usage_job(spark: SparkSession, survey: DataFrame) -> JobResult:
     """Summary plus the DataFrame, SQL, typed and custom-aggregate averages."""
@@ -45,12 +61,13 @@ def time_usage_job(spark: SparkSession, survey: DataFrame) -> JobResult:
 
 def trade_job(spark: SparkSession, lines: DataFrame, table: str | None = None) -> JobResult:
     """Events, the six reports over one view, and the saved table (written now)."""
+    mark = scratch_mark(spark)
     events = trade_events(lines).persist(StorageLevel.MEMORY_AND_DISK)
     view = unique_name("trade_events")
     register_view(events, view)
     outputs = {name: report(spark, name, view) for name in REPORTS}
     outputs["saved_table"] = save_events_table(events, table)
-    return JobResult(events, outputs)
+    return JobResult(events, outputs, [view], mark)
 
 
 def person_accounts_job(persons: DataFrame, accounts: DataFrame) -> JobResult:

@@ -119,12 +119,11 @@ SELECT "timestamp", trade_id, product_id, amount FROM trade_events ORDER BY "tim
     "saved_table": "WITH " + TRADE_EVENTS + "\nSELECT * FROM trade_events",
     "float_sum_by_flag": "SELECT l_returnflag, round(sum(CAST(l_extendedprice AS FLOAT)), 2) AS sum_price "
     "FROM lineitem GROUP BY 1",
-    "accounts_by_person": "WITH " + ACCOUNTS + """,
-placed AS (
-  SELECT *, (row_number() OVER (PARTITION BY person_id ORDER BY id) - 1) // 100000 AS chunk FROM accounts)
-SELECT person_id, chunk, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids,
-       CAST(sum(balance) AS BIGINT) AS total
-FROM placed GROUP BY person_id, chunk""",
+    "accounts_by_person": "WITH " + ACCOUNTS + """
+SELECT person_id, count(*) AS n, CAST(sum(balance) AS BIGINT) AS total, min(id) AS first_id, max(id) AS last_id,
+       bool_or(type = 'CHEQUING') AS has_chequing, bool_and(type = 'CHEQUING') AS only_chequing,
+       arg_min(balance, id) FILTER (WHERE type = 'CHEQUING') AS first_chequing
+FROM accounts GROUP BY person_id""",
     "account_positions": "WITH " + ACCOUNTS + """
 SELECT person_id, row_number() OVER (PARTITION BY person_id ORDER BY id) - 1 AS pos, id, type, balance
 FROM accounts""",
@@ -147,7 +146,7 @@ WHERE EXISTS (SELECT 1 FROM accounts a WHERE a.person_id = p.id AND a.type = 'BR
 SELECT * FROM persons p
 WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.person_id = p.id AND a.type = 'BROKER')""",
     "only_accounts_of_type": "WITH " + JOINED + """
-SELECT id, name, age, earnings FROM joined WHERE n_broker = n_accounts""",
+SELECT id, name, age, earnings FROM joined WHERE n_chequing = n_accounts""",
     "account_type_flags": "WITH " + JOINED + """
 SELECT id, n_savings > 0 AS has_savings, n_savings = n_accounts AS only_savings,
        n_chequing > 0 AS has_chequing, n_chequing = n_accounts AS only_chequing,
@@ -170,7 +169,21 @@ FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "sum_by_key_combined": """SELECT l_suppkey AS "key", CAST(sum(l_linenumber) AS BIGINT) AS total
 FROM lineitem GROUP BY 1 ORDER BY 1 LIMIT 10""",
     "char_distribution": "WITH " + CHARS + "\nSELECT ch, count(*) AS n FROM chars GROUP BY ch",
-    "char_occurrence_lists": "WITH " + CHARS + "\nSELECT ch, count(*) AS n FROM chars GROUP BY ch",
+    "char_occurrence_lists": """SELECT doc_id, ch, repeat('1', CAST(count(*) AS BIGINT)) AS ones FROM (
+  SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0)
+GROUP BY doc_id, ch""",
+    "char_occurrence_counts": "WITH " + CHARS + "\nSELECT ch, count(*) AS n FROM chars GROUP BY ch",
+    "lenient_persons": "WITH " + PERSONS + """,
+bad AS (
+  SELECT *, CAST(id AS BIGINT) % 13 = 0 AS words, CAST(id AS BIGINT) % 11 = 0 AS cut FROM persons)
+SELECT id, name, CASE WHEN NOT words THEN age END AS age, CASE WHEN NOT cut THEN earnings END AS earnings,
+       CASE WHEN words OR cut THEN id || ' ,' || name || ',' || CASE WHEN words THEN 'old' ELSE CAST(age AS VARCHAR) END
+            || CASE WHEN cut THEN '' ELSE ',' || CAST(earnings AS VARCHAR) END END AS reject
+FROM bad""",
+    "lenient_accounts": "WITH " + ACCOUNTS + """
+SELECT id, person_id, CASE WHEN id % 11 <> 0 THEN type END AS type, balance,
+       CASE WHEN id % 11 = 0 THEN concat_ws(',', CAST(id AS VARCHAR), person_id, 'GIFT', CAST(balance AS VARCHAR)) END AS reject
+FROM accounts""",
     "char_totals": "WITH " + CHARS + "\nSELECT count(*) AS total_chars, count(*) AS total_chars_ones FROM chars",
     "lookup_with_default": f"""SELECT l_orderkey, l_linenumber, {QUANTITY} AS i, coalesce(n.n_regionkey, 0) AS m
 FROM lineitem LEFT JOIN nation n ON n.n_nationkey = {QUANTITY}""",

@@ -25,9 +25,11 @@ from quarry.operators.keyed import (
     sum_by_key_gathered,
 )
 from quarry.operators.ordering import top_k_by_key, with_row_index
+from quarry.operators.reports import WITH_ID
 from quarry.plans import person_accounts as P
 from quarry.plans import standins as S
 from quarry.plans import time_usage as TU
+from quarry.plans.jobs import SMALL_AMOUNT_LIMIT
 from quarry.plans.trades import save_events_table, trade_events, trade_report
 from quarry.session import scratch_path, unique_name
 from quarry.sources.csv import read_headed_csv, read_lines
@@ -74,7 +76,7 @@ def time_usage_csv_grouped(spark, d):
     pushed into the CSV scan), summarised and averaged."""
     path = scratch_path(spark, "csv-survey")
     S.survey_from_lineitem(read_table(spark, d, "lineitem")).write.option("header", True).csv(path)
-    _, survey = read_headed_csv(spark, path, where=TU.in_labour_force())
+    _, survey = read_headed_csv(spark, path, where=TU.in_labour_force(), where_cols=["telfs"])
     return TU.time_usage_grouped(TU.time_usage_summary(survey))
 
 
@@ -83,7 +85,6 @@ def prefix_classified_sums(spark, d):
 
 
 # ----------------------------------------------------------------------- trial
-SMALL_AMOUNT_LIMIT = 25  # fixed value of the trial job: amount < 25 is "small", else "big"
 
 
 def bucket_size(spark, d):
@@ -105,8 +106,8 @@ def named_column_sum(spark, d):
 
 
 # ---------------------------------------------------------------------- trades
-def _events(spark: SparkSession, d: str) -> DataFrame:
-    return trade_events(S.trade_lines_from_events(read_table(spark, d, "events")))
+def _events(spark: SparkSession, d: str, with_id: bool = True) -> DataFrame:
+    return trade_events(S.trade_lines_from_events(read_table(spark, d, "events")), with_id=with_id)
 
 
 def delimited_events(spark, d):
@@ -119,7 +120,7 @@ def line_index(spark, d):
 
 def _report(name: str) -> Query:
     def run(spark, d):
-        return trade_report(spark, _events(spark, d), name)
+        return trade_report(spark, _events(spark, d, name in WITH_ID), name)
 
     run.__name__ = name
     return run
@@ -150,17 +151,19 @@ def _joined(spark, d):
 
 
 def accounts_by_person_q(spark, d):
-    """Each person's accounts gathered into lists sorted by id (bounded
-    chunks), shown flat: the ids in list order, the list size and the sum
-    of the list's balances."""
+    """Each person's accounts gathered into lists sorted by id, and what the
+    lists say: size, sum of balances, first and last id, and for CHEQUING
+    whether one or all are of that type and the first such balance."""
     lists = A.accounts_by_person(_accounts(spark, d))
-    return lists.select(
-        "person_id",
-        "chunk",
-        F.size("accounts").cast("long").alias("n"),
-        F.array_join(F.transform("accounts", lambda a: a["id"].cast("string")), ",").alias("ids"),
-        F.aggregate("accounts", F.lit(0).cast("long"), lambda acc, a: acc + a["balance"]).alias("total"),
+    sums = lists.groupBy("person_id").agg(
+        F.sum(F.size("accounts")).alias("n"),
+        F.sum(F.aggregate("accounts", F.lit(0).cast("long"), lambda acc, a: acc + a["balance"])).alias("total"),
+        F.min(F.get("accounts", F.lit(0))["id"]).alias("first_id"),
+        F.max(F.element_at("accounts", -1)["id"]).alias("last_id"),
     )
+    answers = A.list_answers(lists, "CHEQUING").withColumnsRenamed(
+        {"has": "has_chequing", "only": "only_chequing", "first": "first_chequing"})
+    return sums.join(answers, "person_id")
 
 
 def account_positions(spark, d):
@@ -192,7 +195,7 @@ def has_no_account_anti(spark, d):
 
 
 def only_accounts_of_type(spark, d):
-    return A.select_candidates(_joined(spark, d), A.only_accounts_of_type("BROKER")).select(*P.PERSON_COLS)
+    return A.select_candidates(_joined(spark, d), A.only_accounts_of_type("CHEQUING")).select(*P.PERSON_COLS)
 
 
 def account_type_flags(spark, d):
@@ -248,8 +251,13 @@ def char_distribution_q(spark, d):
 
 
 def char_occurrence_lists_q(spark, d):
-    """Occurrence lists per document and character, gathered, then their
-    total length per character."""
+    """The occurrence list of every document and character, as text."""
+    lists = char_occurrence_lists(read_table(spark, d, "documents"), "text", "doc_id")
+    return lists.select("doc_id", "ch", F.array_join(F.transform("ones", lambda x: x.cast("string")), "").alias("ones"))
+
+
+def char_occurrence_counts_q(spark, d):
+    """The total length of the occurrence lists per character."""
     lists = char_occurrence_lists(read_table(spark, d, "documents"), "text", "doc_id")
     return char_occurrence_counts(lists, "n")
 
@@ -300,6 +308,20 @@ def csv_positional_persons(spark, d):
     return parse_persons(read_lines(spark, path))
 
 
+def lenient_persons(spark, d):
+    """Person lines, some of them bad, with a reject column."""
+    path = scratch_path(spark, "csv-persons")
+    S.person_lines_some_bad(read_table(spark, d, "customer")).write.text(path)
+    return parse_persons(read_lines(spark, path), strict=False)
+
+
+def lenient_accounts(spark, d):
+    """Account lines, some of them bad, with a reject column."""
+    path = scratch_path(spark, "csv-accounts")
+    S.account_lines_some_bad(read_table(spark, d, "orders")).write.text(path)
+    return parse_accounts(read_lines(spark, path), strict=False)
+
+
 # -------------------------------------------------------------------- messages
 def _messages(spark, d):
     rows = S.message_rows_from_events(read_table(spark, d, "events"))
@@ -364,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "sum_by_key_combined": sum_by_key_combined,
     "char_distribution": char_distribution_q,
     "char_occurrence_lists": char_occurrence_lists_q,
+    "char_occurrence_counts": char_occurrence_counts_q,
     "char_totals": char_totals_q,
     "lookup_with_default": lookup_with_default_q,
     "lookup_penalty": lookup_penalty_q,
@@ -371,6 +394,8 @@ QUERIES: dict[str, Query] = {
     "csv_headed_roundtrip": csv_headed_roundtrip,
     "csv_positional_accounts": csv_positional_accounts,
     "csv_positional_persons": csv_positional_persons,
+    "lenient_persons": lenient_persons,
+    "lenient_accounts": lenient_accounts,
     "message_format": message_format,
     "message_parse": message_parse,
     "stream_messages": stream_messages,

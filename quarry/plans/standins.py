@@ -120,6 +120,23 @@ def account_lines(orders: DataFrame) -> DataFrame:
     )
 
 
+def person_lines_some_bad(customer: DataFrame) -> DataFrame:
+    """Person lines of which every eleventh lacks its last field and every
+    thirteenth has words for an age."""
+    p = persons_from_customer(customer)
+    k = p["id"].cast("long")
+    age = F.when(k % 13 == 0, F.lit("old")).otherwise(F.col("age").cast("string"))
+    line = F.concat(F.col("id"), F.lit(" ,"), F.col("name"), F.lit(","), age)
+    return p.select(F.when(k % 11 == 0, line).otherwise(F.concat(line, F.lit(","), F.col("earnings").cast("string"))).alias("value"))
+
+
+def account_lines_some_bad(orders: DataFrame) -> DataFrame:
+    """Account lines of which every eleventh has a type that is none."""
+    a = accounts_from_orders(orders)
+    kind = F.when(F.col("id") % 11 == 0, F.lit("GIFT")).otherwise(F.col("type"))
+    return a.select(F.concat_ws(",", F.col("id").cast("string"), "person_id", kind, F.col("balance").cast("string")).alias("value"))
+
+
 def trial_from_part(part: DataFrame) -> DataFrame:
     """Rows ``place, placename, amount``."""
     return part.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from quarry.operators.delimited import TRADE_EVENT_SCHEMA, parse_delimited_events
 from quarry.operators.reports import register_view, report
@@ -10,9 +11,13 @@ from quarry.operators.tables import save_table
 from quarry.session import unique_name
 
 
-def trade_events(lines: DataFrame, line_col: str = "line", order_by: str = "line_no") -> DataFrame:
-    """Parsed events ``trade_id, product_id, timestamp, amount`` (declared schema)."""
-    return parse_delimited_events(lines, line_col, order_by).to(TRADE_EVENT_SCHEMA)
+def trade_events(
+    lines: DataFrame, line_col: str = "line", order_by: str = "line_no", with_id: bool = True
+) -> DataFrame:
+    """Parsed events ``trade_id, product_id, timestamp, amount`` (declared
+    schema); without ids nothing is sorted or written."""
+    events = parse_delimited_events(lines, line_col, order_by, with_id=with_id)
+    return events.to(StructType([f for f in TRADE_EVENT_SCHEMA.fields if with_id or f.name != "trade_id"]))
 
 
 def trade_report(spark: SparkSession, events: DataFrame, name: str, view: str | None = None) -> DataFrame:

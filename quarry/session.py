@@ -19,29 +19,53 @@ def shared_dir(spark: SparkSession) -> str:
     application; a cluster session without it is an error, because a
     machine-local folder is not visible to executors.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # sessions without a SparkContext (e.g. Spark Connect)
+    if not hasattr(spark, "_jsparkSession"):  # Spark Connect
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         return base.rstrip("/")
+    sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = _LOCAL_SHARED.get(sc.applicationId)
         if base is None:
             base = tempfile.mkdtemp(prefix="quarry-shared-")
             _LOCAL_SHARED[sc.applicationId] = base
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
-    return f"{shared_dir(spark)}/quarry/{kind}/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/quarry/{kind}/{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(_application(spark), []).append(path)
+    return path
+
+
+def _application(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId if hasattr(spark, "_jsparkSession") else "connect"
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """A place in the list of scratch paths, for :func:`release_scratch`."""
+    return len(_SCRATCH.get(_application(spark), []))
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> list[str]:
+    """Delete the scratch folders that this application has made after the mark
+    ``since`` (all by default), through Spark's file system.  Frames that read
+    them are of no use afterwards.  Returns the paths."""
+    made = _SCRATCH.get(_application(spark), [])
+    gone = made[since:]
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del made[since:]
+    return gone
 
 
 def unique_name(prefix: str) -> str:

@@ -3,7 +3,9 @@ headless files read by position."""
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,19 +51,24 @@ def read_headed_csv(
     strict: bool = True,
     sep: str = ",",
     where: Column | None = None,
+    where_cols: Sequence[str] = (),
+    check_dropped: bool = False,
 ) -> tuple[list[str], DataFrame]:
     """Read a headed CSV whose first column is text and the rest numbers.
 
     Returns ``(columns, df)``.  The schema comes from the header (first
     column string, the others double); the header line is skipped.
-    ``strict`` fails on a malformed line or a bad number, and on an empty
-    field in a column the query reads (of the rows ``where`` keeps);
-    otherwise bad lines land in ``_corrupt_record`` (PERMISSIVE).
+    ``strict`` fails on a file with another header, on a malformed line or a
+    bad number, and on an empty field in a column the query reads; otherwise
+    bad lines land in ``_corrupt_record`` (PERMISSIVE).
     ``keep_quotes`` keeps quote characters in the text, as a plain split
     on the delimiter would.  ``where`` is a predicate on the raw columns
-    applied at the scan (pushed into the CSV parser) before the strict
-    checks; the checks wrap each column, so only the columns a query uses
-    are converted and checked.
+    ``where_cols``.  By default it is pushed into the CSV parser: a row with
+    an empty field in ``where_cols`` still fails, and the other fields of
+    rows that the predicate drops are not looked at.  With ``check_dropped``
+    the predicate comes after the checks: the columns that a query reads are
+    converted in every row, so a bad number fails in a dropped row as well.
+    The checks wrap each column, so only the columns a query uses are checked.
     """
     names = header_columns(spark, path, sep)
     schema = first_string_rest_double(names, nullable=True)
@@ -69,10 +76,13 @@ def read_headed_csv(
     if keep_quotes:
         reader = reader.option("quote", "")
     if strict:
-        df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
+        df = reader.option("mode", "FAILFAST").option("enforceSchema", False).schema(schema).csv(path)
+        if where is not None and not check_dropped:
+            empty = [F.col(f"`{c}`").isNull() for c in where_cols]
+            df = df.where(reduce(operator.or_, empty, where))
+        df = require_not_null(df)
         if where is not None:
             df = df.where(where)
-        df = require_not_null(df)
     else:
         schema = StructType(schema.fields + [StructField("_corrupt_record", StringType(), True)])
         df = (
@@ -87,10 +97,8 @@ def read_headed_csv(
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines (column ``value``); a byte-order mark at a file start is dropped."""
-    return spark.read.text(path).select(
-        F.regexp_replace("value", "^\ufeff", "").alias("value")
-    )
+    """Text lines (column ``value``); the reader drops a byte-order mark at a file start."""
+    return spark.read.text(path)
 
 
 def positional_fields(line: Column | str, n: int, sep: str = ",") -> list[Column]:

@@ -5,21 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Schemas of table paths already read in this process: later reads pass the
-# schema and skip Spark's footer-reading job.  Tables are assumed not to
-# change shape while a process runs; ``refresh=True`` reads the footer again.
-_SCHEMAS: dict[str, StructType] = {}
 
-
-def read_table(
-    spark: SparkSession, data_dir: str, name: str, schema: StructType | None = None,
-    refresh: bool = False,
-) -> DataFrame:
-    """``{data_dir}/{name}.parquet`` (column pruning and filters reach the scan)."""
+def read_table(spark: SparkSession, data_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """``{data_dir}/{name}.parquet`` (column pruning and filters reach the scan).
+    The schema comes from the files unless the caller knows it."""
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    known = schema or (None if refresh else _SCHEMAS.get(path))
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)

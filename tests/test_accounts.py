@@ -42,13 +42,7 @@ def test_profile_matches_nested_lists(tables):
     prof = {r.person_id: r for r in A.account_profile(accounts).collect()}
     nested = A.accounts_by_person(accounts)
     for t in A.ACCOUNT_TYPES:
-        rows = nested.select(
-            "person_id",
-            A.list_has_type("accounts", t).alias("has"),
-            A.list_only_type("accounts", t).alias("only"),
-            A.list_first_balance("accounts", t).alias("first"),
-        ).collect()
-        for r in rows:
+        for r in A.list_answers(nested, t).collect():
             p = prof[r.person_id]
             assert r.has == (p[f"n_{t.lower()}"] > 0)
             assert r.only == (p[f"n_{t.lower()}"] == p.n_accounts)
@@ -96,12 +90,10 @@ def test_positions_equal_exploded_lists(tables):
     assert pos == sorted(tuple(r) for r in nested.collect())
 
 
-def test_list_chunks_hold_the_whole_list(tables):
+def test_list_runs_hold_the_whole_list(tables):
     _, accounts = tables
-    chunks = A.accounts_by_person(accounts, chunk_size=2).collect()
     by_person = {}
-    for r in sorted(chunks, key=lambda r: (r.person_id, r.chunk)):
-        assert len(r.accounts) <= 2
+    for r in sorted(A.accounts_by_person(accounts).collect(), key=lambda r: (r.person_id, r.run)):
         by_person.setdefault(r.person_id, []).extend(a.id for a in r.accounts)
     expected = {}
     for i, p, _, _ in sorted(ACCOUNTS):
@@ -147,16 +139,30 @@ def test_bucketed_tables_join_without_shuffle(spark):
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.integers(0, 10**6)), max_size=40,
                 unique_by=lambda t: t[1]), st.integers(1, 4))
-def test_list_chunks_property(spark, rows, chunk):
+def test_list_runs_property(spark, rows, parts):
     if not rows:
         return
     acc = spark.createDataFrame([(i, p, "SAVINGS", 1) for p, i in rows],
                                 "id long, person_id string, type string, balance int")
     got = {}
-    for r in sorted(A.accounts_by_person(acc, chunk_size=chunk).collect(), key=lambda r: (r.person_id, r.chunk)):
-        assert 0 < len(r.accounts) <= chunk
+    for r in sorted(A.accounts_by_person(acc.repartition(parts)).collect(), key=lambda r: (r.person_id, r.run)):
+        assert r.accounts
         got.setdefault(r.person_id, []).extend(a.id for a in r.accounts)
     exp = {}
     for p, i in sorted(rows, key=lambda t: t[1]):
         exp.setdefault(p, []).append(i)
     assert got == exp
+
+
+def test_list_answers_of_a_person_cut_into_runs(spark):
+    rows = [(i, "hot", "BROKER" if i < 1500 else "SAVINGS", i) for i in range(2000)] + [(9000, "p", "BROKER", 1), (9001, "q", "CREDIT", 2)]
+    acc = spark.createDataFrame(rows, "id long, person_id string, type string, balance int").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lists = A.accounts_by_person(acc)
+        assert lists.where("person_id = 'hot'").count() > 1
+        got = {t: {r.person_id: (r.has, r.only, r.first) for r in A.list_answers(lists, t).collect()} for t in ("BROKER", "SAVINGS")}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got["BROKER"] == {"hot": (True, False, 0), "p": (True, True, 1), "q": (False, False, None)}
+    assert got["SAVINGS"]["hot"] == (True, False, 1500)

@@ -69,11 +69,28 @@ def test_lookup_with_default(spark):
     dup = spark.createDataFrame([(1, 2), (1, 3)], "k int, v int")
     import pytest
 
-    with pytest.raises(ValueError, match="not unique"):
-        lookup_with_default(df, "i", dup, "k", "v")
-    # the shuffled path (size check above the limit) gives the same rows
-    shuffled = lookup_with_default(df, "i", lookup, "k", "v", 0, "m", max_broadcast_rows=1)
-    assert sorted(tuple(r) for r in shuffled.collect()) == got
+    for hint in (None, "broadcast", "merge"):  # the same error and the same rows by any join
+        with pytest.raises(Exception, match="not unique"):
+            lookup_with_default(df, "i", dup, "k", "v", join_hint=hint).collect()
+        again = lookup_with_default(df, "i", lookup, "k", "v", 0, "m", join_hint=hint)
+        assert sorted(tuple(r) for r in again.collect()) == got
+    nulls = spark.createDataFrame([(None, 2), (None, 3), (1, 9)], "k int, v int")
+    assert dict(tuple(r) for r in lookup_with_default(df.distinct(), "i", nulls, "k", "v").collect())[1] == 9
+
+
+def test_lookup_penalty_is_long_arithmetic(spark):
+    df = spark.createDataFrame([(100_000,), (100_000,)], "i int")
+    lookup = spark.createDataFrame([(100_000, 200_000)], "k int, v int")
+    assert lookup_penalty(df, "i", lookup, "k", "v").first().total == 2 * -100_000 * 200_000
+
+
+def test_lookup_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup-build", "x")
+    df = spark.range(10).selectExpr("cast(id as int) i")
+    lookup_penalty(df, "i", df.selectExpr("i k", "i v"), "k", "v")
+    assert list(tracker.getJobIdsForGroup("lookup-build")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @settings(max_examples=15, deadline=None)

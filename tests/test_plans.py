@@ -56,14 +56,14 @@ def test_char_explode_and_partial_count_share_a_stage(plans):
     assert "Generate explode" in p and "partial_count" in p
 
 
-def test_lookup_broadcast_only_after_size_check(spark):
+def test_lookup_join_follows_the_size_threshold(spark):
     li = read_table(spark, SF, "lineitem").selectExpr("CAST(l_quantity AS INT) AS i")
     nation = read_table(spark, SF, "nation")
     small = plan(lookup_with_default(li, "i", nation, "n_nationkey", "n_regionkey"))
     assert "BroadcastHashJoin" in small
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan(lookup_with_default(li, "i", nation, "n_nationkey", "n_regionkey", max_broadcast_rows=10))
+        big = plan(lookup_with_default(li, "i", nation, "n_nationkey", "n_regionkey"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big

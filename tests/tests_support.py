@@ -1,3 +1,4 @@
+# Fixed values (FIXTURES.md, F4), whose recorded results the tests need.
 # Four trade lines: events cut by "|", fields by ",", with blanks around
 # events and a time text that is not a valid time ("2905206:14:340").
 TRADE_LINES = [

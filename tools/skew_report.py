@@ -78,7 +78,7 @@ def workloads(spark: SparkSession, d: str):
         "sum_by_key (hot key)": lambda: sum_by_key(pairs, "key", "value"),
         "sum_by_key_gathered (hot key)": lambda: sum_by_key_gathered(pairs, "key", "value"),
         "lookup_with_default, shuffled (50 keys)": lambda: lookup_with_default(
-            qty, "i", read_table(spark, d, "part"), "p_partkey", "p_size", max_broadcast_rows=0),
+            qty, "i", read_table(spark, d, "part"), "p_partkey", "p_size", join_hint="merge"),
         "lookup_penalty (50 keys)": lambda: lookup_penalty(
             qty.select("i"), "i", read_table(spark, d, "part"), "p_partkey", "p_size"),
         "with_row_index (hot tied key)": lambda: with_row_index(tied, ["k"], "idx"),
