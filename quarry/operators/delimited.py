@@ -49,7 +49,7 @@ def parse_delimited_events(
     """
     ids = ["trade_id"] if with_id else []
     if with_id:
-        lines = with_row_index(lines.select(line_col, order_by), [order_by], "trade_id")
+        lines = with_row_index(lines.select(line_col, order_by), [order_by], "trade_id", unique=True)
     events = lines.select(
         *ids,
         F.posexplode(split_literal(jvm_trim(line_col), event_delimiter)).alias("event_pos", "event"),

@@ -15,18 +15,19 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33
 
 
 def sorted_tags(
-    df: DataFrame, order_by: Sequence[str | Column] | None, path: str | None = None
+    df: DataFrame, order_by: Sequence[str | Column] | None, path: str | None = None, unique: bool = False
 ) -> DataFrame:
     """``df`` in ``order_by`` order, written once as parquet under the shared
     folder, with ``_q_part`` (sorted partition) and ``_q_pos`` (0-based place
     inside it): the global order is ``(_q_part, _q_pos)``.
 
     The frame is range-partitioned and sorted; ties in ``order_by`` are
-    broken by a hash of the row and then by its columns, values that do not
-    change when a task is repeated, so a heavily repeated key is still split
-    over many partitions (rows equal in every column stay together).  With ``order_by=None`` the rows keep the frame's own
-    order (partition by partition, as ``zipWithIndex`` numbers them) and
-    nothing is shuffled.  Writing the tags cuts the lineage: a lost executor
+    broken by input partition and place among its rows sorted by all columns,
+    which a repeated task finds again whatever the order its rows arrive in,
+    so a heavily repeated key is still split over many partitions.  With
+    ``unique`` the order columns have no ties and this step is left out.  With
+    ``order_by=None`` the rows keep the frame's own order (partition by
+    partition, as ``zipWithIndex`` numbers them) and nothing is shuffled.  Writing the tags cuts the lineage: a lost executor
     cannot renumber rows, and later steps depend only on stored values.
 
     Materialises: runs the sort and the write when called.
@@ -34,10 +35,12 @@ def sorted_tags(
     spark = df.sparkSession
     location = path or scratch_path(spark, "row-index")
     ordered = df
-    if order_by is not None:
-        ties = [f for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
-        named = [F.col(f"`{f.name}`") for f in ties]
-        ordered = df.withColumn("_q_tie", F.xxhash64(*named)).orderBy(*order_by, "_q_tie", *named).drop("_q_tie")
+    if order_by is not None and unique:
+        ordered = df.orderBy(*order_by)
+    elif order_by is not None:
+        named = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        placed = df.sortWithinPartitions(*named).withColumn("_q_in", F.monotonically_increasing_id())
+        ordered = placed.orderBy(*order_by, "_q_in").drop("_q_in")
     ordered.withColumn("_q_mid", F.monotonically_increasing_id()).write.mode(
         "errorifexists"
     ).parquet(location)
@@ -53,7 +56,7 @@ def sorted_tags(
 
 def with_row_index(
     df: DataFrame, order_by: Sequence[str | Column] | None, name: str = "row_index",
-    path: str | None = None,
+    path: str | None = None, unique: bool = False,
 ) -> DataFrame:
     """Append a contiguous 0-based index in the order of ``order_by``.
 
@@ -61,15 +64,15 @@ def with_row_index(
     :func:`sorted_tags`.  Per-partition counts, read from the tag column
     only, give offsets (one row per partition, a size bounded by the
     partition count) that are broadcast back onto the rows.  No step moves
-    all rows to one partition.  Ties in ``order_by`` are numbered by the
-    rows' own columns, so a rerun numbers them alike.  ``order_by=None``
+    all rows to one partition.  Pass ``unique`` for order columns without ties,
+    which also give a reproducible index.  ``order_by=None``
     numbers the rows in the frame's current order without sorting (the
     frame is still written once, so the numbering cannot change).
 
     Materialises: runs the sort and the write when called.
     """
     cols = list(df.columns)
-    tagged = sorted_tags(df, order_by, path)
+    tagged = sorted_tags(df, order_by, path, unique)
     counts = tagged.groupBy("_q_part").agg(F.count(F.lit(1)).alias("_q_n"))
     before = Window.orderBy("_q_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -115,7 +115,7 @@ def delimited_events(spark, d):
 
 
 def line_index(spark, d):
-    return with_row_index(read_table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "line_index")
+    return with_row_index(read_table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "line_index", unique=True)
 
 
 def _report(name: str) -> Query:

@@ -2,8 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import queries
 from quarry.operators.keyed import lookup_with_default
+from quarry.plans.registry import QUERIES
 from quarry.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -15,16 +15,16 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(q(spark, SF)) for name, q in queries().items()}
+    return {name: plan(q(spark, SF)) for name, q in QUERIES.items()}
 
 
 def test_no_row_at_a_time_python(plans):
     for name, p in plans.items():
         assert "BatchEvalPython" not in p, name
         assert "ArrowEvalPython" not in p, name
-        if name != "time_usage_grouped_custom":
-            assert "MapInPandas" not in p and "PythonUDF" not in p, name
-    assert "MapInPandas" in plans["time_usage_grouped_custom"]
+        if name not in ("time_usage_grouped_custom", "sum_by_key_gathered"):
+            assert "MapInPandas" not in p and "MapInArrow" not in p and "PythonUDF" not in p, name
+    assert "MapInArrow" in plans["time_usage_grouped_custom"] and "MapInArrow" in plans["sum_by_key_gathered"]
 
 
 def test_survey_filter_and_pruning_reach_the_scan(plans):
