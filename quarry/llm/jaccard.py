@@ -41,7 +41,7 @@ def _least_overlap(n):
 
 def _extra(n):
     """Common tokens asked of the longer prefixes in the first filter."""
-    return 1 + n // 16
+    return 1 + n // 8
 
 
 def _prefix(n, extra=1):
@@ -116,7 +116,7 @@ def alive(heads: DataFrame, classes: DataFrame) -> DataFrame:
     bounds = lists.withColumns({"_a": F.min("sig").over(_by("token")), "_b": F.max("sig").over(_by("token"))})
     met = bounds.where("_a <> _b").groupBy("sig").agg(F.count("*").alias("met"))
     # the partner may be smaller, by a quarter at most
-    need = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 16)
+    need = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 8)
     return classes.join(met, "sig").where((F.col("met") >= need) & F.col("rep").isNotNull()).select("sig", "n", "rep")
 
 
