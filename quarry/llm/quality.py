@@ -144,4 +144,7 @@ def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns."""
     own = docs.columns
     packed = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
-    return quality_rules(packed, "text", rules).where("kept").select("row.*")
+    judged = quality_rules(packed, "text", rules)
+    # beside a row number the verdict is computed once, not again inside the filter
+    judged = judged.withColumn("_place", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_place") >= 0)).select("row.*")
