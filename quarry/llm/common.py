@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 import quarry
 from quarry.session import scratch_path
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: White space of the word rules: space and the bytes 9 to 13.
 WORD_SEPARATORS = bytes([0x20, 9, 10, 11, 12, 13])
@@ -130,7 +130,7 @@ class WordHasher:
         if fold:
             self.values[65:91] = self.values[97:123]
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray, limit: int = 4 << 20):
+    def __call__(self, data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20):
         """(hash of each word, first byte of each word, words before each offset)."""
         hashes, starts, begin = [], [], 0
         n = len(data)

@@ -32,8 +32,8 @@ LEVEL_BITS = 8
 BLOCK_BITS = 512
 SEGMENT_TOKENS = 1 << 18
 END_ID = 0
-SLOTS = 1 << 21
-POOL_IDS = 16 << 20
+SLOTS = 1 << 20
+POOL_IDS = 6 << 20
 MANIFEST = "shard int, seq int, path string, docs long, tokens long"
 
 
@@ -241,8 +241,11 @@ class Encoder:
             size += len(word)
             joins = 0x20 < word[-1] < 0x80 or (word[-1] >= 0x80 and 0xC3 <= word[-2] <= 0xDF)
         texts = [b"".join(g).decode("utf-8") for g in groups]
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.concatenate([np.asarray(x.ids, np.uint32) for x in done])
+        parts = []
+        for k in range(0, len(texts), 16):  # the library's results are much larger than the ids
+            done = self.tokenizer.encode_batch_fast(texts[k: k + 16], add_special_tokens=False)
+            parts += [np.asarray(x.ids, np.uint32) for x in done]
+        ids = np.concatenate(parts)
         ends = np.cumsum(self.lengths[ids])
         wanted = np.cumsum(np.fromiter((len(w) for w in words), np.int64, len(words)))
         cut = np.searchsorted(ends, wanted)
