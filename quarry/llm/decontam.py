@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask looks at 8 of 12 words in a row and ignores the others, so a seed still
-hits where some words were replaced.  Seeds of all windows of the benchmark are
+A mask looks at 7 of 9 words in a row and ignores the others, so a seed still
+hits where some words were replaced; every overlap meets one of the masks, so
+none is lost.  Seeds of all windows of the benchmark are
 stored by hash; bitmaps of their hashes (of fixed size, whatever the size of the
 benchmark) sort out windows of documents inside the scan, and only documents
 with windows that may hit go on, with those windows, to be joined to the stored
@@ -11,6 +12,8 @@ overlap if a stretch has enough equal words.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,15 +23,21 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 from quarry.llm.common import written
 
-#: Masks over SPAN words (1: the word counts).
-MASKS = ("111011001011", "110100111101", "101111010011", "110011110011")
-SPAN = 12
-#: Items with fewer words than SPAN are hit by all their words, from this many on.
-LEAST_WORDS = 5
 #: A stretch counts +1 for an equal word and -2 for another; it is an overlap
 #: with this many equal words, or all of a shorter item's.
 LEAST_EQUAL = 10
 MISS = 2
+#: Items with fewer words prove nothing; those with fewer than LEAST_EQUAL are
+#: hit by all their words.
+LEAST_WORDS = 5
+#: Masks over SPAN words (1: the word counts).  A best stretch counts more than 0
+#: from each of its words to its end, so its k-th other word from the end lies
+#: more than 3k places before the end: the last three words are equal, and of the
+#: last nine at most two are not, one of them beyond the sixth.  These are all
+#: such endings (one with fewer other words meets several).
+SPAN = 9
+MASKS = tuple("".join("01"[k not in others] for k in range(SPAN, 0, -1))
+              for others in [(i, j) for j in (7, 8, 9) for i in range(4, j)])
 
 #: Words are runs of ASCII letters and digits and of non-ASCII characters.
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
@@ -53,6 +62,22 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return common.mixed(h).view(np.int64)
 
 
+def mask_seeds(words: np.ndarray):
+    """The seeds of every mask in turn; the masks share their products."""
+    n = len(words) - SPAN + 1
+    if n <= 0:
+        yield from (np.zeros(0, np.int64) for _ in MASKS)
+        return
+    parts = [words[k: k + n] * _FACTORS[k] for k in range(SPAN)]
+    whole = sum(parts[1:], parts[0])
+    for mask in MASKS:
+        h = whole + np.uint64((int(mask, 2) << 8) + SPAN)
+        for k, bit in enumerate(mask):
+            if bit == "0":
+                h -= parts[k]
+        yield common.mixed(h).view(np.int64)
+
+
 # The benchmark ---------------------------------------------------------------
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -80,7 +105,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
         for batch in batches:
             for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 w = np.array(words, np.int64).view(np.uint64)
-                found = [seeds(w, m) for m in MASKS] if len(w) >= SPAN else [seeds(w, "1" * len(w))]
+                found = list(mask_seeds(w)) if len(w) >= LEAST_EQUAL else [seeds(w, "1" * len(w))]
                 place = np.concatenate([np.arange(len(f)) for f in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found)), pa.array(np.full(len(place), item, np.int64)), pa.array(place)],
@@ -111,20 +136,19 @@ SUSPECTS = "key long, doc_id long, text string, seeds array<long>, places array<
 def suspects(docs: DataFrame, bitmaps: list[np.ndarray], short: list[int]) -> DataFrame:
     """(key, doc_id, text, seeds, places) of the documents with windows whose
     seeds are in both bitmaps, and those seeds with their word places."""
-    masks = [*MASKS, *["1" * n for n in short]]
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
     def search(batches):
         for part in common.slices(batches, "text"):
             words, at = text_words(common.text_column(part, "text"))
             docs_hit, seeds_hit, places_hit = [], [], []
-            for mask in masks:
-                found = seeds(words, mask)
+            whole = ((n, seeds(words, "1" * n)) for n in short)
+            for span, found in chain(((SPAN, s) for s in mask_seeds(words)), whole):
                 upper, lower = seed_places(found)
                 hit = np.flatnonzero(common.in_bitmap(bitmaps[0], upper))
                 hit = hit[common.in_bitmap(bitmaps[1], lower[hit])]
                 doc = np.searchsorted(at, hit, "right") - 1
-                inside = hit + len(mask) <= at[doc + 1]  # windows do not run over a text's end
+                inside = hit + span <= at[doc + 1]  # windows do not run over a text's end
                 hit, doc = hit[inside], doc[inside]
                 docs_hit.append(doc)
                 seeds_hit.append(found[hit])
@@ -167,7 +191,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     items = written(benchmark_items(benchmark), "seed_items")
     stored = written(item_seeds(items), "seeds")
-    short = [r[0] for r in items.select(F.size("words")).where(F.size("words") < SPAN).distinct().collect()]
+    short = [r[0] for r in items.select(F.size("words")).where(F.size("words") < LEAST_EQUAL).distinct().collect()]
     near = written(suspects(rows, seed_bitmaps(stored), sorted(short)), "seed_suspects")
     hits = near.select("key", F.explode(F.arrays_zip("seeds", "places")).alias("_h"))
     hits = hits.select("key", F.col("_h.seeds").alias("seed"), F.col("_h.places").alias("at"))

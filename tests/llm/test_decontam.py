@@ -74,3 +74,55 @@ def test_odd_rows(spark, odd_docs, no_docs):
     left = decontam.decontaminate(odd_docs, bench)
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count() - 4
     assert decontam.find_contamination(no_docs, bench).collect() == []
+
+
+def test_every_overlap_meets_a_mask():
+    """All patterns of equal and other words of 10 to 15 words."""
+    fits = [[k for k, c in enumerate(m) if c == "1"] for m in decontam.MASKS]
+    leaks = 0
+    for n in range(10, 16):
+        for pattern in range(1 << n):
+            if pattern.bit_count() < 10:
+                continue
+            equal = np.array([pattern >> k & 1 for k in range(n)])
+            if decontam.best_overlap(equal, np.ones(n, int), 0)[0] >= 10:
+                leaks += 1
+                assert any(equal[[a + k for k in ones]].all() for a in range(n - decontam.SPAN + 1) for ones in fits), equal
+    assert leaks > 100
+
+
+def test_seeds_of_masks():
+    words = np.arange(1, 40, dtype=np.uint64)
+    for mask, found in zip(decontam.MASKS, decontam.mask_seeds(words)):
+        assert np.array_equal(found, decontam.seeds(words, mask))
+
+
+def test_runs_and_replaced_words_against_plain_version(spark):
+    """Exact parts of 9 to 11 words, and a fifth or a quarter of the words replaced."""
+    rng = np.random.RandomState(8)
+    count = iter(range(10**6))
+    new = lambda n: [f"n{next(count)}" for _ in range(n)]
+    items = {k: new(n) for k, n in enumerate([60, 60, 40, 30, 20, 15, 14, 13, 12, 11, 10, 9])}
+    docs = []
+    for item in items.values():
+        docs += [item[a: a + n] for n in (9, 10, 11) for a in (0, len(item) // 3, max(0, len(item) - n))]
+        docs += [[new(1)[0] if i % every == at else w for i, w in enumerate(item)] for every in (4, 5) for at in range(every)]
+        for share in (0.2, 0.25):
+            for _ in range(10):
+                gone = set(rng.choice(len(item), round(share * len(item)), replace=False))
+                docs.append([new(1)[0] if i in gone else w for i, w in enumerate(item)])
+    docs = {k: [*new(15), *w, *new(15)] for k, w in enumerate(docs)}
+    leaks, plain = set(), set()
+    for d, words in docs.items():
+        for i, item in items.items():
+            if set(words) & set(item):
+                if brute.overlaps(words, item) >= min(10, len(item)):
+                    plain.add((d, i))
+                x, y = np.array(words), np.array(item)
+                if max(decontam.best_overlap(x, y, s)[0] for s in range(-len(y) + 1, len(x))) >= min(10, len(item)):
+                    leaks.add((d, i))
+    assert plain <= leaks  # of stretches that count the same, the plain version takes a shorter one
+    df = spark.createDataFrame([(d, " ".join(w), None, None, None) for d, w in docs.items()], DOCS).repartition(4)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_contamination(df, bench).collect()} == leaks
+    assert len(leaks) > 200
