@@ -34,46 +34,86 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
           "tfoot", "th", "thead", "tr", "ul", "caption", "legend", "option"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTENT = {"article", "main"}
-#: Words of class, id or role that mark what is not content.
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Words that mark what is not content.  A class name, id, role or label marks its
+#: element if it holds such a word and else only words that tell its place or form
+#: ("site-footer", but not "has-sidebar" or "article-header").
 MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment",
          "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "header",
          "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination",
          "popup", "promo", "promoted", "promotion", "related", "reply", "replies", "search", "share", "sharing", "sidebar",
          "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "teaser", "toolbar", "topbar", "widget", "hidden"}
 
+HEADS = {"header", "masthead", "banner"}
+TALK = {"comment", "comments", "disqus", "reply", "replies"}
+PLACES = {"site", "global", "top", "main", "primary", "secondary", "wrap", "wrapper", "container", "inner", "bar", "area", "mobile",
+          "desktop", "sticky", "fixed"}
+FORMS = PLACES | {"left", "right", "bottom", "box", "block", "list", "section", "slot", "unit", "buttons", "button", "links", "link",
+                  "icons", "icon", "form", "posts", "stories", "articles", "items", "item", "thread", "overlay", "message", "media",
+                  "email", "tools", "visually", "google", "x", "this", "our", "us", "on", "to", "the", "and", "for"}
+#: Of an article's own parts these are no content.
+PARTS, PART_MARKS = {"article", "entry", "page", "post"}, TALK | {"ad", "ads", "footer", "nav", "navigation", "pagination", "related",
+                                                                 "share", "sharing", "social"}
+
 _UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(%s)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
                      % "|".join(UNSEEN), re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>")
-_MARKED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"display\s*:\s*none|\shidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true", re.I)
-_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+
+
+class Mark:
+    """A marked element: why, and whether an article or main opens inside it."""
+
+    __slots__ = ("why", "article", "main")
+
+    def __init__(self, why: str):
+        self.why, self.article, self.main = why, False, False
 
 
 class Line:
     """A block's text: its pieces, how many characters are links, where it lies."""
 
-    __slots__ = ("pieces", "linked", "content", "off")
+    __slots__ = ("pieces", "linked", "content", "off", "marks")
 
-    def __init__(self, content: bool, off: bool):
-        self.pieces, self.linked, self.content, self.off = [], 0, content, off
+    def __init__(self, content: bool, off: bool, marks: tuple[Mark, ...]):
+        self.pieces, self.linked, self.content, self.off, self.marks = [], 0, content, off, marks
 
 
-def _is_marked(attributes: str) -> bool:
-    if _HIDDEN.search(attributes):
-        return True
-    for found in _MARKED.finditer(attributes):
-        value = found[1] or found[2] or found[3] or ""
-        if any(w.lower() in MARKS for w in _WORD.findall(value)):
-            return True
-    return False
+def _name_marks(name: str, inside: bool) -> str:
+    """What a class name, id, role or label marks: "", "talk" or "other"."""
+    words = {w.lower() for w in _WORD.findall(name)}
+    marks = words & MARKS
+    if not marks or inside and marks <= HEADS:  # an article's own header is content
+        return ""
+    beside = PLACES if marks <= HEADS else FORMS | PARTS if marks & PART_MARKS else FORMS
+    return "" if words - marks - beside else "talk" if marks & TALK else "other"
+
+
+def mark_of(name: str, attributes: str, inside: bool) -> str:
+    """What marks an element as no content: "hidden", "talk", "other", or ""."""
+    found = ""
+    for attribute in _ATTRIBUTE.finditer(attributes):
+        key, value = attribute[1].lower(), attribute[2] or attribute[3] or attribute[4] or ""
+        if (key == "hidden" and value.lower() != "false" or key == "aria-hidden" and value.strip().lower() == "true"
+                or key == "style" and _UNSHOWN.search(value)):
+            return "hidden"
+        if key == "id" and name in HEADINGS:  # made from the heading's text
+            continue
+        if key in ("class", "id", "role", "aria-label"):
+            for part in value.split() if key in ("class", "role") else [value]:
+                found = found or _name_marks(part, inside)
+    return found
 
 
 def lines_of(page: str) -> list[Line]:
     """The lines of a page in order.  ``open_`` holds the open elements as
-    (name, adds to boilerplate, adds to content); a closing tag closes what is
-    open inside its element, and one without an element is passed over."""
+    (name, adds to boilerplate, adds to content, marks); a closing tag closes what
+    is open inside its element, and one without an element is passed over."""
     page = _UNSEEN.sub(" ", page)
-    open_: list[tuple[str, int, int]] = []
+    open_: list[tuple[str, int, int, int]] = []
+    marks: list[Mark] = []  # of the open elements
     off = inside = links = 0
     lines: list[Line] = []
     line = None
@@ -83,7 +123,7 @@ def lines_of(page: str) -> list[Line]:
         if line is None:
             if not raw.strip():
                 return
-            line = Line(inside > 0, off > 0)
+            line = Line(inside > 0, off > 0, tuple(marks))
             lines.append(line)
         line.pieces.append(raw)
         if links:
@@ -104,10 +144,11 @@ def lines_of(page: str) -> list[Line]:
         if tag[1]:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == name:
-                    for closed, o, c in open_[k:]:
+                    for closed, o, c, m in open_[k:]:
                         off -= o
                         inside -= c
                         links -= closed == "a"
+                        del marks[len(marks) - m:]
                     del open_[k:]
                     break
             continue
@@ -117,25 +158,57 @@ def lines_of(page: str) -> list[Line]:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == "p":
                     if not any(x[0] in BLOCKS for x in open_[k + 1:]):
-                        for closed, o, c in open_[k:]:
+                        for closed, o, c, m in open_[k:]:
                             off -= o
                             inside -= c
                             links -= closed == "a"
+                            del marks[len(marks) - m:]
                         del open_[k:]
                     break
         plain = name in CONTENT or name in ("body", "html")
-        o = int(name in BOILERPLATE or name == "header" and not inside or not plain and bool(tag[3]) and _is_marked(tag[3]))
+        o = int(name in BOILERPLATE or name == "header" and not inside)
         c = int(name in CONTENT)
+        why = "" if o or plain or not tag[3] else mark_of(name, tag[3], inside > 0)
+        if c:
+            for mark in marks:
+                mark.main |= name == "main"
+                mark.article |= name == "article"
+        if why:
+            marks.append(Mark(why))
         off += o
         inside += c
         links += name == "a"
-        open_.append((name, o, c))
+        open_.append((name, o, c, int(why != "")))
     tail = page[at:]
     cut = re.search(r"<[a-zA-Z/!?][^<>]*\Z", tail)  # a tag that the page's end cuts off
     say(tail[: cut.start()] if cut else tail)
     return lines
 
 
+def settle(lines: list[Line], texts: list[str]) -> None:
+    """Switches off the lines in marked elements, unless the mark cannot be meant
+    for them: the element holds main or most of the page's text, an article's
+    included.  Comments, which can be longer than an article, and hidden elements
+    stay off if there is content elsewhere; hidden ones also if they hold none.
+    Articles in a lesser marked element are teasers."""
+    held: dict[Mark, int] = {}
+    total, elsewhere = 0, False
+    for x, t in zip(lines, texts):
+        if not x.off:
+            total += len(t)
+            elsewhere = elsewhere or bool(x.content and t and not x.marks)
+            for mark in x.marks:
+                held[mark] = held.get(mark, 0) + len(t)
+    void = set()
+    for mark, size in held.items():
+        most = 2 * size > total
+        if mark.why == "other" and (mark.main or most) or not elsewhere and (
+                mark.main or most and (mark.article or mark.why != "hidden")):
+            void.add(mark)
+    for x in lines:
+        x.off = x.off or any(mark not in void for mark in x.marks)
+
+
 def weights(lines: list[Line], texts: list[str]) -> list[int]:
     """The weight of each line; if content is marked, other lines weigh nothing."""
     marked = any(x.content and not x.off and t for x, t in zip(lines, texts))
@@ -172,6 +245,7 @@ def main_text(page: str | None) -> str:
         return ""
     lines = lines_of(page)
     texts = [" ".join(references.unescape("".join(x.pieces)).split()) for x in lines]
+    settle(lines, texts)
     w = weights(lines, texts)
     if not any(w):
         return ""

@@ -58,3 +58,29 @@ def test_odd_pages(spark):
     got = sorted(((r.page_id or 0, r.n_chars) for r in html.extract_main_text(df).collect()))
     assert got == [(0, 0), (1, 1), (1, 1), (2, 799_999)]
     assert html.extract_main_text(df.where("false")).collect() == []
+
+
+STORY = "<h1>A title</h1><p>The story is told here, in a paragraph of some length.</p><p>And it ends here, in another one.</p>"
+TOLD = "A title\n\nThe story is told here, in a paragraph of some length.\n\nAnd it ends here, in another one."
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="content-sidebar-wrap"><article>%s</article></div>', '<div class="site has-sidebar"><main>%s</main></div>',
+    '<div class="sidebar"><article>%s</article><div class="ad">Buy this</div></div>', '<div class="widget">%s</div><p>Short</p>',
+    '<article><section id="related-work">%s</section></article>', '<article><div style="overflow: hidden">%s</div></article>',
+    '<article><div title="A hidden gem" data-x="display:none">%s</div></article>', '<article><div class="overflow-hidden">%s</div></article>',
+    '<article><div class="article-header"><h1>A title</h1></div>%s</article>', '<div id="app" style="display:none"><main>%s</main></div>'])
+def test_marks_of_wrappers(around):
+    story = STORY.replace("<h1>A title</h1>", "") if "article-header" in around else STORY
+    assert html.main_text(around % story).removesuffix("\n\nShort") == TOLD
+
+
+@pytest.mark.parametrize("other", [
+    '<div class="ad">Buy</div>', '<div class="cookie-notice">We use cookies</div>', '<div class="site-footer">Imprint</div>',
+    '<div id="comments" class="comments-area"><article><p>%s</p></article></div>' % ("A long comment. " * 50), '<p hidden>no</p>',
+    '<div class="related-posts"><article>Next</article></div>', '<div role="search">Find</div>', '<p aria-hidden="true">no</p>',
+    '<div class="post-share">Share</div>', '<div aria-label="Related stories">More</div>', '<p style="color:red; visibility:hidden">no</p>'])
+def test_marked_elements_stay_off(other):
+    for page in ("<article>%s</article>%s", "%s%s", "<main><article>%s</article>%s</main>"):
+        if "comments" not in other or "article" in page:
+            assert html.main_text(page % (STORY, other)) == TOLD
