@@ -4,13 +4,14 @@ Markup is stripped into lines, one per block of text; each line has a weight,
 the length of its text if it can be content (no menu, advert, form, ... and not
 made of links) and 0 otherwise.  Weights are summed over sliding windows of
 lines; where the sums surge a region begins, where they dive it ends, and the
-text between the two is kept.
+text between the two is kept, of all regions.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 
 WINDOW = 3
-#: Share of the greatest window sum at which a page without marked content surges.
+#: Share of a window of typical (median) lines at which a page without marked
+#: content surges; no single line moves it.
 SURGE = 0.2
 LEAST_SURGE = 40
 MOST_LINKED = 0.5
@@ -32,6 +34,8 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "
           "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup",
           "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "tbody", "td",
           "tfoot", "th", "thead", "tr", "ul", "caption", "legend", "option"}
+#: Elements whose blocks belong together.
+BOXES = {"div", "section", "td", "center", "blockquote", "dd", "details", "figure"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTENT = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -73,12 +77,13 @@ class Mark:
 
 
 class Line:
-    """A block's text: its pieces, how many characters are links, where it lies."""
+    """A block's text: its pieces, how many characters are links, where it lies;
+    ``box`` numbers the innermost open element that holds blocks."""
 
-    __slots__ = ("pieces", "linked", "content", "off", "marks")
+    __slots__ = ("pieces", "linked", "content", "off", "marks", "box")
 
-    def __init__(self, content: bool, off: bool, marks: tuple[Mark, ...]):
-        self.pieces, self.linked, self.content, self.off, self.marks = [], 0, content, off, marks
+    def __init__(self, content: bool, off: bool, marks: tuple[Mark, ...], box: int):
+        self.pieces, self.linked, self.content, self.off, self.marks, self.box = [], 0, content, off, marks, box
 
 
 def _name_marks(name: str, inside: bool) -> str:
@@ -109,11 +114,12 @@ def mark_of(name: str, attributes: str, inside: bool) -> str:
 
 def lines_of(page: str) -> list[Line]:
     """The lines of a page in order.  ``open_`` holds the open elements as
-    (name, adds to boilerplate, adds to content, marks); a closing tag closes what
+    (name, adds to boilerplate, adds to content, marks, boxes); a closing tag closes what
     is open inside its element, and one without an element is passed over."""
     page = _UNSEEN.sub(" ", page)
-    open_: list[tuple[str, int, int, int]] = []
+    open_: list[tuple[str, int, int, int, int]] = []
     marks: list[Mark] = []  # of the open elements
+    boxes, n_boxes = [0], 0
     off = inside = links = 0
     lines: list[Line] = []
     line = None
@@ -123,7 +129,7 @@ def lines_of(page: str) -> list[Line]:
         if line is None:
             if not raw.strip():
                 return
-            line = Line(inside > 0, off > 0, tuple(marks))
+            line = Line(inside > 0, off > 0, tuple(marks), boxes[-1])
             lines.append(line)
         line.pieces.append(raw)
         if links:
@@ -144,11 +150,12 @@ def lines_of(page: str) -> list[Line]:
         if tag[1]:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == name:
-                    for closed, o, c, m in open_[k:]:
+                    for closed, o, c, m, b in open_[k:]:
                         off -= o
                         inside -= c
                         links -= closed == "a"
                         del marks[len(marks) - m:]
+                        del boxes[len(boxes) - b:]
                     del open_[k:]
                     break
             continue
@@ -158,11 +165,12 @@ def lines_of(page: str) -> list[Line]:
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == "p":
                     if not any(x[0] in BLOCKS for x in open_[k + 1:]):
-                        for closed, o, c, m in open_[k:]:
+                        for closed, o, c, m, b in open_[k:]:
                             off -= o
                             inside -= c
                             links -= closed == "a"
                             del marks[len(marks) - m:]
+                            del boxes[len(boxes) - b:]
                         del open_[k:]
                     break
         plain = name in CONTENT or name in ("body", "html")
@@ -178,7 +186,10 @@ def lines_of(page: str) -> list[Line]:
         off += o
         inside += c
         links += name == "a"
-        open_.append((name, o, c, int(why != "")))
+        if name in BOXES:
+            n_boxes += 1
+            boxes.append(n_boxes)
+        open_.append((name, o, c, int(why != ""), int(name in BOXES)))
     tail = page[at:]
     cut = re.search(r"<[a-zA-Z/!?][^<>]*\Z", tail)  # a tag that the page's end cuts off
     say(tail[: cut.start()] if cut else tail)
@@ -222,8 +233,9 @@ def weights(lines: list[Line], texts: list[str]) -> list[int]:
 
 def regions(w: list[int], surge: float) -> list[tuple[int, int]]:
     """(first, last) lines of the regions: a region begins at the surge point,
-    the first line with weight of a window whose sum reaches ``surge``, and ends
-    at the dive point, after which the window sums fall to 0 or stay under it."""
+    the first line with weight of a window whose sum reaches ``surge``, or lines
+    with weight just before it, and ends at the dive point, after which the window
+    sums fall to 0 or stay under it."""
     n, found, i = len(w), [], 0
     sums = [sum(w[k: k + WINDOW]) for k in range(n)]
     while i < n:
@@ -231,6 +243,8 @@ def regions(w: list[int], surge: float) -> list[tuple[int, int]]:
             i += 1
             continue
         first = last = i
+        while first and w[first - 1] and (not found or first - 1 > found[-1][1]):
+            first -= 1
         while i < n and sums[i] > 0 and (sums[i] >= surge or w[i]):
             if w[i]:
                 last = i
@@ -239,6 +253,22 @@ def regions(w: list[int], surge: float) -> list[tuple[int, int]]:
     return found
 
 
+def kept_lines(w: list[int], boxes: list[int]) -> list[int]:
+    """The lines of all regions of a page without marked content, and those between
+    two regions that are parted by few lines or, in their own box, lie in one box."""
+    typical = median(k for k in w if k)
+    most = max(sum(w[k: k + WINDOW]) for k in range(len(w)))
+    found = regions(w, min(most, max(LEAST_SURGE, SURGE * WINDOW * typical)))
+    kept = set()
+    for k, (first, last) in enumerate(found):
+        kept.update(range(first, last + 1))
+        if k:
+            before = found[k - 1][1]
+            near = first - before <= WINDOW + 1
+            kept.update(i for i in range(before + 1, first) if near or boxes[i] == boxes[before] == boxes[first])
+    return sorted(kept)
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page: blocks joined by an empty line; "" if none."""
     if not page:
@@ -252,10 +282,7 @@ def main_text(page: str | None) -> str:
     if any(x.content for x, k in zip(lines, w) if k):
         kept = [k for first, last in regions(w, 1) for k in range(first, last + 1)]
     else:
-        sums = [sum(w[k: k + WINDOW]) for k in range(len(w))]
-        found = regions(w, max(min(LEAST_SURGE, max(sums)), SURGE * max(sums)))
-        best = max(found, key=lambda r: (sum(w[r[0]: r[1] + 1]), -r[0]))
-        kept = list(range(best[0], best[1] + 1))
+        kept = kept_lines(w, [x.box for x in lines])
     return "\n\n".join(texts[k] for k in kept if w[k] and texts[k])
 
 

@@ -84,3 +84,21 @@ def test_marked_elements_stay_off(other):
     for page in ("<article>%s</article>%s", "%s%s", "<main><article>%s</article>%s</main>"):
         if "comments" not in other or "article" in page:
             assert html.main_text(page % (STORY, other)) == TOLD
+
+
+def test_all_regions_of_pages_without_article():
+    w = [40, 150, 160, 150, 170, 20_000, 150, 0, 180, 160]
+    texts = [f"{k} " + "x" * (n - 2) for k, n in enumerate(w) if n]
+    blocks = [f"<p>{t}</p>" for t in texts]
+    advert = "<div class=ad>Buy this</div>"
+    for between in (advert, advert * 3, "<ul>" + "<li><a href=#>link</a></li>" * 9 + "</ul>"):
+        page = "<body><nav>Menu</nav>" + "".join(blocks[:7]) + between + "".join(blocks[7:]) + "<footer>Imprint</footer></body>"
+        assert html.main_text(page) == "\n\n".join(texts)
+    page = "<body><div>%s</div>" + advert * 3 + "<div>Home</div></body>"
+    page = page % (advert * 3).join(["".join(blocks[:3]), "<p>short</p>", "".join(blocks[3:])])
+    assert html.main_text(page) == "\n\n".join([*texts[:3], "short", *texts[3:]])
+
+
+def test_regions_begin_with_lines_before_the_surge():
+    assert html.regions([0, 5, 5, 5, 5, 90, 90, 0], 40) == [(1, 6)]
+    assert html.regions([50, 0, 0, 0, 3, 1, 1, 60], 40) == [(0, 0), (4, 7)]
