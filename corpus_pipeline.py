@@ -23,11 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, the document that names it (the
-    smallest doc_id); rows without a doc_id, which name none, stay."""
-    found = jaccard.jaccard_components(docs)
-    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "duplicates")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """Of each component of near duplicates, one row: the one of the smallest
+    doc_id.  Repeated rows and copies without a doc_id are no exception."""
+    return jaccard.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

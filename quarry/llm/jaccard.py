@@ -9,7 +9,9 @@ pair has to pass under several orders before it is verified:
 2. by document frequency, rare first, among those: pairs come from this order;
 3. by hash, ascending and descending, pair by pair.
 
-Equal sets form one class with one representative, so copies are never paired.
+Equal sets form one class, named by its digest, with one representative row, so
+copies are never paired.  Rows are told apart by a hash of id and text (ids may
+be null or repeated); rows equal in both are the same document.
 Components only need enough links to hold together: a document is first compared
 with the hub of its token lists, then with the middle of the component it meets
 most (as many pairs as documents); then all pairs across components that are
@@ -93,31 +95,37 @@ def _texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A hash of a row's id and text, the same in every run."""
+    return F.xxhash64(doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit("")))
+
+
 def with_heads(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sig, head) per document: size and digest of its set, and the
-    longer prefix in ascending order of hashes."""
+    """(doc_id, key, n, sig, head) per document: size and digest of its set, and
+    the longer prefix in ascending order of hashes."""
     def rows(batches):
         for part in common.slices(batches, "text"):
             sets = shingle_sets(*common.buffers_of(common.text_column(part, "text")))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([signature(s) for s in sets], pa.int64()),
                  _list_array([s[: _prefix(len(s), _extra(len(s)))] if len(s) else s for s in sets])],
-                names=["doc_id", "n", "sig", "head"])
+                names=["doc_id", "key", "n", "sig", "head"])
 
-    return _texts(docs).mapInArrow(rows, "doc_id long, n long, sig long, head array<long>")
+    keyed = _texts(docs).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
+    return keyed.mapInArrow(rows, "doc_id long, key long, n long, sig long, head array<long>")
 
 
 def alive(heads: DataFrame, classes: DataFrame) -> DataFrame:
-    """Classes (sig, n, rep) that pass the first filter."""
-    copies = heads.select("doc_id", "sig", "n").join(classes, ["sig", "n"]).where("doc_id <> rep").select("doc_id")
+    """Classes (sig, n, row) that pass the first filter."""
+    copies = heads.select("key", "sig", "n").join(classes, ["sig", "n"]).where("key <> row").select("key")
     copies = written(copies.distinct(), "jaccard_copies")
-    lists = heads.join(copies, "doc_id", "left_anti").select("sig", F.explode("head").alias("token"))
+    lists = heads.join(copies, "key", "left_anti").select("sig", F.explode("head").alias("token"))
     bounds = lists.withColumns({"_a": F.min("sig").over(_by("token")), "_b": F.max("sig").over(_by("token"))})
     met = bounds.where("_a <> _b").groupBy("sig").agg(F.count("*").alias("met"))
     # the partner may be smaller, by a quarter at most
     need = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 8)
-    return classes.join(met, "sig").where((F.col("met") >= need) & F.col("rep").isNotNull()).select("sig", "n", "rep")
+    return classes.join(met, "sig").where(F.col("met") >= need).select("sig", "n", "row")
 
 
 def _by(*keys):
@@ -127,26 +135,28 @@ def _by(*keys):
 
 
 def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
-    """(rep, n, set) of the living classes, from their representatives' texts.
+    """(rep, n, set) of the living classes, from their representatives' texts;
+    ``rep`` is the digest that names a class.
 
-    A bitmap of the ids (of fixed size) keeps most other texts out of the join.
+    A bitmap of the row keys (of fixed size) keeps most other texts out of the join.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << common.BITMAP_BITS)).cast("int")
-    bits = common.bitmap(living.select(place(F.col("rep"))))
-    rows = _texts(docs).select(place(F.col("doc_id")).alias("place"), "doc_id", "text")
+    bits = common.bitmap(living.select(place(F.col("row"))))
+    rows = _texts(docs).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
+    rows = rows.select(place(F.col("key")).alias("place"), "key", "text")
 
     def chosen(batches):
         for batch in batches:
             keep = common.in_bitmap(bits, batch.column(0).to_numpy())
             yield batch.select([1, 2]).filter(pa.array(keep))
 
-    rows = rows.mapInArrow(chosen, "doc_id long, text string")
-    rows = rows.join(living.select("rep", "sig"), F.col("doc_id") == F.col("rep")).select("rep", "sig", "text")
+    rows = rows.mapInArrow(chosen, "key long, text string")
+    rows = rows.join(living.select("row", F.col("sig").alias("rep")), F.col("key") == F.col("row")).select("rep", "text")
 
     def sets(batches):
         for part in common.slices(batches, "text"):
             found = shingle_sets(*common.buffers_of(common.text_column(part, "text")))
-            wanted = part.column(1).to_pylist()
+            wanted = part.column(0).to_pylist()
             same = [k for k, s in enumerate(found) if signature(s) == wanted[k]]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(same, pa.int64())), pa.array([len(found[k]) for k in same], pa.int64()),
@@ -326,6 +336,30 @@ def _sizes_fit(n: Column, m: Column) -> Column:
     return PERCENT * F.greatest(n, m) <= 100 * F.least(n, m)
 
 
+def row_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n_shingles, node, component_id) per row of ``docs``: ``node``
+    tells components apart, also those with the same smallest id or without ids;
+    it is null for empty sets."""
+    common.ship(docs.sparkSession)
+    heads = written(with_heads(docs), "jaccard_heads")
+    slim = heads.select("doc_id", "key", "n", "sig")
+    classes = written(slim.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.min("key").alias("row")),
+                      "jaccard_classes")
+    living = written(alive(heads, classes), "jaccard_alive")
+    sets = bucketed(sets_of(docs, living))
+    lists = written(prefix_lists(sets), "jaccard_lists")
+    labels = linked_components(lists, sets).withColumnRenamed("rep", "sig")
+    names = labels.join(classes, "sig").groupBy("comp").agg(F.min("least").alias("name"))
+    named = classes.join(labels.join(names, "comp"), "sig", "left").select(
+        "sig", "n", F.coalesce("comp", "sig").alias("node"), F.coalesce("name", "least").alias("component_id"))
+    # empty sets (a hot key of no use) do not take part in the join
+    full = slim.where("n > 0").join(named, ["sig", "n"]).select(
+        "doc_id", "key", F.col("n").alias("n_shingles"), "node", "component_id")
+    empty = slim.where("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("node"),
+                                       F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty)
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text).
 
@@ -333,20 +367,31 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     words without white space); with fewer words, the whole sequence.  Documents
     link at a Jaccard similarity of 0.75; component_id is the smallest doc_id
     reachable.  Null and empty texts have an empty set, link with nothing and
-    keep their own id; repeated rows are copies; rows with a null id get the
-    component of their text but name none (null if no other row has an equal
-    text).  Other columns are not read.
+    keep their own id; repeated rows are copies; rows that share an id have each
+    the component of their own text; rows with a null id link as others, but name
+    none (null if no row with an id is reachable).  Other columns are not read.
     """
-    common.ship(docs.sparkSession)
-    heads = written(with_heads(docs), "jaccard_heads")
-    slim = heads.select("doc_id", "n", "sig")
-    classes = written(slim.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "jaccard_classes")
-    living = written(alive(heads, classes), "jaccard_alive")
-    sets = bucketed(sets_of(docs, living))
-    lists = written(prefix_lists(sets), "jaccard_lists")
-    labels = linked_components(lists, sets)
-    named = classes.join(labels, "rep", "left").select("sig", "n", F.coalesce("comp", "rep").alias("comp"))
-    # empty sets (a hot key of no use) do not take part in the join
-    full = slim.where("n > 0").join(named, ["sig", "n"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"))
-    empty = slim.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty)
+    return row_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` per component: that of the smallest doc_id (null last),
+    then row key.  Of rows equal in id and text one stays, by a hash of the whole
+    row.  Rows with neither id nor words are no copies of each other and stay."""
+    own = docs.columns
+    found = written(row_components(docs).select("doc_id", "key", "node"), "duplicate_rows")
+    linked = found.where("node is not null")
+    first = linked.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_nil"), "doc_id", "key")).alias("_f"))
+    gone = written(linked.select("key").distinct().join(first.select(F.col("_f.key").alias("key")), "key", "left_anti")
+                   .withColumnRenamed("key", "_gone"), "duplicates")
+    repeats = found.where("node is not null or doc_id is not null").groupBy("key").count().where("count > 1")
+    repeats = written(repeats.join(gone, repeats["key"] == gone["_gone"], "left_anti").select(F.col("key").alias("_again")), "repeats")
+    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("_row_key"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    keyed = keyed.join(gone, keyed["_row_key"] == gone["_gone"], "left_anti")
+    single = keyed.join(repeats, keyed["_row_key"] == repeats["_again"], "left_anti").select("_row.*")
+    if repeats.isEmpty():
+        return single
+    hashed = [F.col("_row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    again = keyed.join(repeats, keyed["_row_key"] == repeats["_again"], "left_semi")
+    again = again.groupBy("_row_key").agg(F.min_by("_row", F.xxhash64(*hashed)).alias("_row"))
+    return single.unionByName(again.select("_row.*"))

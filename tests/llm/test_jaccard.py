@@ -87,3 +87,21 @@ def test_odd_rows(odd_docs, no_docs):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8, 9: 9, 10: 10}
     assert {r.component_id for r in rows if r.doc_id is None} == {None}
     assert jaccard.jaccard_components(no_docs).collect() == []
+
+
+def test_repeated_ids_and_rows(spark):
+    """One id with a copied and an own text; classes that share the smallest id."""
+    rng = np.random.RandomState(9)
+    new = lambda n: [f"w{x}" for x in rng.randint(0, 10**9, n)]
+    one, two, three, four = (new(60) for _ in range(4))
+    near = lambda w: " ".join([*w[:-1], new(1)[0]])
+    join = " ".join
+    rows = [(1, join(one)), (5, join(one)), (5, join(two)), (9, near(two)), (3, join(three)), (3, join(four)), (7, near(three)),
+            (8, near(four)), (8, join(new(30))), (8, ""), (1, join(one)), (None, near(one)), (None, join(new(20)))]
+    df = spark.createDataFrame([(d, t, None, str(k), None) for k, (d, t) in enumerate(rows)], DOCS).repartition(4)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in jaccard.jaccard_components(df).collect())
+    assert got == sorted([(1, 1), (5, 1), (5, 5), (9, 5), (3, 3), (3, 3), (7, 3), (8, 3), (8, 8), (8, 8), (1, 1), (0, 1), (0, 0)])
+    kept = jaccard.one_of_each(df)
+    assert kept.columns == df.columns
+    sure = [rows[k] for k in (0, 2, 4, 5, 8, 9, 12)]
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == sorted((d or 0, t) for d, t in sure)

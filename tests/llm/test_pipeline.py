@@ -63,3 +63,9 @@ def test_odd_and_empty_documents(spark, odd_docs, no_docs):
             if number < len(corpus_pipeline.STAGES) - 1:
                 assert docs.columns == frame.columns
         assert docs.count() == 0 or frame is odd_docs
+
+
+def test_one_row_of_each_component(spark, odd_docs):
+    kept = sorted(r.doc_id or 0 for r in corpus_pipeline.near_duplicates(spark, odd_docs.unionByName(odd_docs), SF).collect())
+    # twice the rows without id and words; of all others one row, of 1 to 3 (near copies) only 1
+    assert kept == [0, 0, 0, 1, 4, 5, 6, 7, 8, 9, 10]
