@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import quarry
 from quarry.session import scratch_path
@@ -59,6 +60,23 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys that join by broadcast in :func:`join_split`, at most.
+HOT_KEYS = 1000
+
+
+def join_split(rows: DataFrame, unique: DataFrame, keys: list[str], counts: DataFrame, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``unique`` (one row per key), with hot keys apart.
+
+    ``counts`` (keys, rows) tells how many of the ``total`` rows each key has.
+    Keys with more than a ``HOT_KEYS``-th of them, so fewer than ``HOT_KEYS``
+    whatever the data, join by broadcast; no other key is large.
+    """
+    hot = F.broadcast(unique.join(counts.where(F.col("rows") * HOT_KEYS > total).select(*keys), keys, "left_semi"))
+    some = rows.join(hot, keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(unique, keys)
+    return some.unionByName(rest)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     column = batch.column(batch.schema.get_field_index(name))
     return column.fill_null("") if column.null_count else column

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, html, jaccard, mixing, quality, secrets, tokens, toxicity, warc
+from quarry.llm import chat, decontam, html, jaccard, mixing, quality, secrets, tokens, toxicity, trie, warc
 from quarry.llm.common import table, written
 
 
@@ -76,7 +76,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(written(chat.format_chat(turns.unionByName(more)), "chat"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op6_toxicity, op7_ngram_jaccard,
-    op8_main_text, op9_decontamination, op10_chat_format)}
+    op8_main_text, op9_decontamination, op10_chat_format, op11_prefix_trie)}
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,108 @@
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+from brute import words
+from quarry.llm import queries, trie
+
+SF = "/root/testdata/sf0.01"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows):
+    """The nodes, from (conv_id, turn, role, text), by walking a plain trie."""
+    original = defaultdict(list)
+    for c, turn, role, text in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        original[c].append((role or "", text or ""))
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(original):
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - (c % 20 if c >= 0 else -(-c % 20))
+        rebuilt = tuple(original.get(base, [])[:h] + original[c][h:])
+        for d in range(len(rebuilt) + 1):
+            members[rebuilt[:d]].append(c)
+        ends[rebuilt].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        leaves[node] = sum(leaves[x] for x in below) or 1
+        own = (len(members[node]) - 1) * len(words(node[-1][1])) if node else 0
+        saved[node] = own + sum(saved[x] for x in below)
+    return sorted((min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(children[node]), leaves[node],
+                   saved[node], hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest())
+                  for node, m in members.items())
+
+
+def key(r):
+    return tuple(-10**18 if x is None else x for x in r)
+
+
+def result(df):
+    assert df.columns == COLUMNS
+    return sorted((tuple(r) for r in df.collect()), key=key)
+
+
+def test_all_conversations(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert result(queries.op11_prefix_trie(spark, SF)) == sorted(brute(rows), key=key)
+
+
+def conversations():
+    """Common openings, copies, prefixes of each other, turnless ones, long ones."""
+    rows = []
+    for c in range(130):
+        for t in range((c * 7) % 5 + (c % 20 == 0)):
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", f"said {(c % 20 == 0) and t} word" if t < 2 else f"x{c % 3} y {t}"))
+    rows += [(c, t, "user", "the same") for c in range(200, 320) for t in range(6)]  # one sequence for most
+    rows += [(400, t, "user", f"long {t % 7}") for t in range(3000)]  # as many rows as all others
+    rows += [(401, t, "user", f"long {t % 7}") for t in range(2500)]
+    rows += [(-7, 0, None, None), (-7, 1, "", ""), (-7, None, "user", "before all"), (-20, 0, "a", "b c"), (9, 100, "user", " \n ")]
+    return rows
+
+
+@pytest.fixture(params=[4096, 3])
+def block(request, monkeypatch):
+    monkeypatch.setattr(trie, "BLOCK", request.param)
+
+
+def test_openings_copies_and_long_ones(spark, block):
+    rows = conversations()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    assert result(trie.prefix_trie(df)) == sorted(brute(rows), key=key)
+
+
+def test_conversations_cut_by_batches_and_partitions(spark):
+    rows = conversations()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        assert result(trie.prefix_trie(df)) == sorted(brute(rows), key=key)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_odd_rows(spark):
+    schema = "conv_id long, turn long, role string, text string, words int, a string, n string, seq double, depth int"
+    rows = [(1, 0, "user", "a b"), (1, 0, "user", "a b"), (None, 0, "user", "x"), (2, None, None, None), (2, None, None, None)]
+    df = spark.createDataFrame([(*r, 1, "own", "own", 0.5, 7) for r in rows], schema)
+    assert result(trie.prefix_trie(df)) == sorted(brute([r for r in rows if r[0] is not None]), key=key)
+    assert result(trie.prefix_trie(df.where("false"))) == []
+
+
+def test_long_text(spark):
+    rows = [(c, t, "user", " ".join(f"w{i}" for i in range(200_000)) + str(t)) for c in (40, 41) for t in range(2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert result(trie.prefix_trie(df)) == sorted(brute(rows), key=key)
+
+
+def test_ties_have_one_result(spark):
+    rows = [(5, 1, "user", f"said {k}") for k in range(6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert result(trie.prefix_trie(df.orderBy("text"))) == result(trie.prefix_trie(df.orderBy(df.text.desc()).repartition(4)))
