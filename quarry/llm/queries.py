@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, html, jaccard, mixing, quality, secrets, tokens, toxicity, trie, warc
+from quarry.llm import chat, decontam, html, jaccard, merkle, mixing, quality, secrets, tokens, toxicity, trie, warc
 from quarry.llm.common import table, written
 
 
@@ -81,7 +81,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, with the roots that each one folds to."""
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"), with_proof=False)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op6_toxicity, op7_ngram_jaccard,
-    op8_main_text, op9_decontamination, op10_chat_format, op11_prefix_trie)}
+    op8_main_text, op9_decontamination, op10_chat_format, op11_prefix_trie,
+    op12_merkle_manifest)}
 ORACLE: dict[str, str] = {}
