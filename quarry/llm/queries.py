@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, html, jaccard, merkle, mixing, quality, secrets, tokens, toxicity, trie, warc
+from quarry.llm import chat, decontam, html, jaccard, licences, merkle, mixing, quality, secrets, tokens, toxicity, trie, warc
 from quarry.llm.common import table, written
 
 
@@ -86,8 +86,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(table(spark, sf_dir, "documents"), with_proof=False)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences named or quoted in every document."""
+    return licences.licence_digests(licences.scan_licences(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op6_toxicity, op7_ngram_jaccard,
     op8_main_text, op9_decontamination, op10_chat_format, op11_prefix_trie,
-    op12_merkle_manifest)}
+    op12_merkle_manifest, op13_license_scan)}
 ORACLE: dict[str, str] = {}
