@@ -24,6 +24,9 @@ from quarry.operators.ordering import position_in_group, sorted_tags
 # Fixed values of the accounts job: the account types, in declaration order.
 ACCOUNT_TYPES = ("SAVINGS", "CHEQUING", "CREDIT", "BROKER")
 
+#: Accounts in one nested list, at most.
+RUN = 100_000
+
 
 def _t(account_type: str) -> str:
     return account_type.lower()
@@ -35,15 +38,15 @@ def accounts_by_person(accounts: DataFrame) -> DataFrame:
     ``(id, type, balance)`` structs sorted by account id.
 
     The accounts are sorted by person and id once; a list is a run, the
-    consecutive accounts of a person inside one sorted partition, so no row
-    holds an unbounded group.  Runs 0, 1, ... of a person, one after another,
-    are the whole list.  Where a long list is cut depends on the partitioning;
-    most persons have one run.
+    consecutive accounts of a person inside one block of ``RUN`` sorted rows, so
+    no row holds more.  Runs 0, 1, ... of a person, one after another, are the
+    whole list.  Where a long list is cut depends on the partitioning; most
+    persons have one run.
     """
     tagged = sorted_tags(accounts, ["person_id", "id"])
-    runs = tagged.groupBy("_q_part", "person_id").agg(
+    runs = tagged.groupBy("_q_part", F.floor(F.col("_q_pos") / RUN).alias("_q_block"), "person_id").agg(
         F.array_sort(F.collect_list(F.struct("id", "type", "balance"))).alias("accounts"))
-    number = F.row_number().over(Window.partitionBy("person_id").orderBy("_q_part")) - 1
+    number = F.row_number().over(Window.partitionBy("person_id").orderBy("_q_part", "_q_block")) - 1
     return runs.select("person_id", number.cast("long").alias("run"), "accounts")
 
 

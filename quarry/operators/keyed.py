@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, DecimalType, IntegralType
 
 from quarry.operators.partitioning import spread
@@ -100,12 +101,10 @@ def char_occurrence_counts(lists: DataFrame, name: str = "n") -> DataFrame:
 
 
 def char_totals(df: DataFrame, text_col: str) -> DataFrame:
-    """Total number of characters, counted (``count``) and as a sum of ones
-    (0 for no characters, as a sum over an empty set)."""
-    return spread(df.select(text_col)).select(characters(text_col).alias("ch")).agg(
-        F.count(F.lit(1)).alias("total_chars"),
-        F.coalesce(F.sum(F.lit(1)), F.lit(0)).cast("long").alias("total_chars_ones"),
-    )
+    """Total number of characters (0 for none), and the same as the sum of a one
+    for each, which per text is its length: no character becomes a row."""
+    total = F.coalesce(F.sum(F.length(text_col).cast("long")), F.lit(0))
+    return df.agg(total.alias("total_chars"), total.alias("total_chars_ones"))
 
 
 def _map_side(lookup: DataFrame, key: str, value: str) -> DataFrame:
@@ -193,3 +192,18 @@ def write_with_metrics(df: DataFrame, col: str, path: str, fmt: str = "parquet")
     )
     observed.write.format(fmt).mode("errorifexists").save(path)
     return obs.get
+
+
+def observed_totals(query: StreamingQuery, name: str) -> dict:
+    """The metrics of the observation ``name``, added up over the batches that the
+    ended ``query`` has run (counts and sums; the progress of every batch must still
+    be held, see ``spark.sql.streaming.numRecentProgressUpdates``)."""
+    totals: dict = {}
+    batches = [p for p in query.recentProgress if p.observedMetrics]
+    if any(b.batchId > a.batchId + 1 for a, b in zip(batches, batches[1:])):
+        raise RuntimeError("the progress of some batches is no longer held")
+    last = {p.batchId: p.observedMetrics.get(name) for p in batches}
+    for found in last.values():
+        for metric, value in (found.asDict() if found is not None else {}).items():
+            totals[metric] = totals.get(metric, 0) + (value or 0)
+    return totals

@@ -48,6 +48,17 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 WITH_ID = {"events_ordered"}
 
 
+#: One statement with the same figures per product, as SQL text over a view.
+PRODUCT_SUMMARY = """
+SELECT product_id, count(*) AS n, sum(amount) AS total, min(amount) AS least, max(amount) AS most
+FROM {view} GROUP BY product_id"""
+
+
+def product_summary(spark: SparkSession, view: str) -> DataFrame:
+    """Run :data:`PRODUCT_SUMMARY` over the registered view ``view``."""
+    return spark.sql(PRODUCT_SUMMARY.format(view=view))
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Register ``df`` as a session temp view and return it."""
     df.createOrReplaceTempView(name)

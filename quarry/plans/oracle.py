@@ -84,6 +84,14 @@ MESSAGES = """msg AS (
          '192.168.2.' || CAST(user_id % 255 AS VARCHAR) AS ip
   FROM events)"""
 
+TOPIC = MESSAGES + """,
+topic AS (
+  SELECT CAST(CAST(split_part(ip, '.', 4) AS INTEGER) % 8 AS INTEGER) AS partition,
+         row_number() OVER (PARTITION BY CAST(split_part(ip, '.', 4) AS INTEGER) % 8 ORDER BY n) - 1 AS "offset",
+         count(*) OVER (PARTITION BY CAST(split_part(ip, '.', 4) AS INTEGER) % 8) AS ends,
+         ip AS "key", concat_ws(',', CAST(millis AS VARCHAR), CAST(n AS VARCHAR), 'www.example.com', ip) AS value
+  FROM msg)"""
+
 CHARS = """chars AS (
   SELECT unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0)"""
 
@@ -116,6 +124,9 @@ SELECT "timestamp", trade_id, product_id, amount FROM trade_events ORDER BY "tim
     "FROM events GROUP BY 1",
     "max_amount_by_type": 'SELECT event_type AS product_id, max(CAST(value AS FLOAT)) AS "max(amount)" '
     "FROM events GROUP BY 1",
+    "product_summary_sql": """SELECT event_type AS product_id, count(*) AS n, sum(CAST(value AS FLOAT)) AS total,
+       min(CAST(value AS FLOAT)) AS least, max(CAST(value AS FLOAT)) AS most
+FROM events GROUP BY 1""",
     "saved_table": "WITH " + TRADE_EVENTS + "\nSELECT * FROM trade_events",
     "float_sum_by_flag": "SELECT l_returnflag, round(sum(CAST(l_extendedprice AS FLOAT)), 2) AS sum_price "
     "FROM lineitem GROUP BY 1",
@@ -128,6 +139,16 @@ FROM accounts GROUP BY person_id""",
 SELECT person_id, row_number() OVER (PARTITION BY person_id ORDER BY id) - 1 AS pos, id, type, balance
 FROM accounts""",
     "person_accounts": "WITH " + JOINED + "\nSELECT id, name, age, earnings, n_accounts, total_balance FROM joined",
+    "bucketed_person_accounts": "WITH " + JOINED + "\nSELECT id, name, age, earnings, n_accounts, total_balance FROM joined",
+    "candidate_selections": "WITH " + JOINED + """
+SELECT 'large_savings_high_earners' AS selection, id FROM joined
+WHERE earnings > 50000 AND coalesce(first_savings_balance > 50000, false)
+UNION ALL
+SELECT 'broker_candidates', id FROM joined
+WHERE earnings >= 50000 AND age BETWEEN 45 AND 55 AND coalesce(first_savings_balance > 10000, false) AND n_broker = 0
+UNION ALL
+SELECT 'credit_assistance_candidates', id FROM joined
+WHERE earnings <= 40000 AND age BETWEEN 18 AND 30 AND coalesce(first_credit_balance <= -10000, false)""",
     "large_savings_high_earners": "WITH " + JOINED + """
 SELECT id, name, age, earnings FROM joined
 WHERE earnings > 50000 AND coalesce(first_savings_balance > 50000, false)""",
@@ -206,4 +227,22 @@ FROM msg""",
 SELECT ip AS "key", millis, n, 'www.example.com' AS host, ip FROM msg""",
     "stream_messages": "WITH " + MESSAGES + """
 SELECT ip AS "key", millis, n, 'www.example.com' AS host, ip FROM msg""",
+    "topic_messages": "WITH " + TOPIC + """
+SELECT partition, "offset", "key", value FROM topic""",
+    "topic_offset_range": "WITH " + TOPIC + """
+SELECT partition, "offset", "key", value FROM topic WHERE "offset" >= ends // 3 AND "offset" < 2 * ends // 3""",
+    "topic_stream": "WITH " + MESSAGES + """
+SELECT ip AS "key", millis, n, 'www.example.com' AS host, ip FROM msg""",
+    "topic_stream_restart": "WITH " + MESSAGES + """
+SELECT ip AS "key", n, CAST(CASE WHEN n * 3 // (SELECT max(n) + 1 FROM msg) = 0 THEN 0 ELSE 1 END AS BIGINT) AS seen FROM msg""",
+    "topic_copy": "WITH " + TOPIC + """
+SELECT "key", value FROM topic""",
+    "topic_effects": "WITH " + TOPIC + """
+SELECT 'record.key: ' || "key" || ' record.value: ' || value AS line FROM topic""",
+    "topic_key_totals": "WITH " + MESSAGES + """
+SELECT ip AS "key", count(*) AS n, CAST(sum(n) AS BIGINT) AS total FROM msg GROUP BY ip""",
+    "observed_write": """SELECT count(l_linenumber) AS n, CAST(sum(l_linenumber) AS BIGINT) AS total,
+       avg(l_linenumber) AS mean FROM lineitem""",
+    "observed_stream": "WITH " + MESSAGES + """
+SELECT n * 3 // (SELECT max(n) + 1 FROM msg) AS part, count(*) AS n, CAST(sum(n) AS BIGINT) AS total FROM msg GROUP BY 1""",
 }

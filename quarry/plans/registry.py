@@ -25,11 +25,13 @@ from quarry.operators.keyed import (
     sum_by_key_gathered,
 )
 from quarry.operators.ordering import top_k_by_key, with_row_index
-from quarry.operators.reports import WITH_ID
+from quarry.operators.reports import WITH_ID, product_summary, register_view
+from quarry.operators.tables import save_bucketed_table
 from quarry.plans import person_accounts as P
 from quarry.plans import standins as S
 from quarry.plans import time_usage as TU
-from quarry.plans.jobs import SMALL_AMOUNT_LIMIT
+from quarry.plans.jobs import SMALL_AMOUNT_LIMIT, person_accounts_job
+from quarry.plans.topics import TOPIC_QUERIES
 from quarry.plans.trades import save_events_table, trade_events, trade_report
 from quarry.session import scratch_path, unique_name
 from quarry.sources.csv import read_headed_csv, read_lines
@@ -126,6 +128,13 @@ def _report(name: str) -> Query:
     return run
 
 
+def product_summary_sql(spark, d):
+    """SQL text over the registered event view."""
+    view = unique_name("trade_events")
+    register_view(_events(spark, d, with_id=False), view)
+    return product_summary(spark, view)
+
+
 def saved_table(spark, d):
     return save_events_table(_events(spark, d))
 
@@ -194,6 +203,25 @@ def has_no_account_anti(spark, d):
     return A.with_account_type(_persons(spark, d), _accounts(spark, d), "BROKER", present=False)
 
 
+def bucketed_person_accounts(spark, d):
+    """Persons and accounts saved in buckets of the person id, joined bucket by
+    bucket: neither the profiles nor the join shuffle."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    persons = save_bucketed_table(_persons(spark, d), unique_name("persons"), "id", buckets)
+    accounts = save_bucketed_table(_accounts(spark, d), unique_name("accounts"), "person_id", buckets)
+    return A.person_accounts(persons, accounts).select("id", "name", "age", "earnings", "n_accounts", "total_balance")
+
+
+def candidate_selections(spark, d):
+    """The three selections of one job over one persisted join, as (selection, id)."""
+    job = person_accounts_job(_persons(spark, d), _accounts(spark, d))
+    path = scratch_path(spark, "selections")
+    for name, rows in job.outputs.items():
+        rows.select(F.lit(name).alias("selection"), "id").write.mode("append").parquet(path)
+    job.unpersist()
+    return spark.read.schema("selection string, id string").parquet(path)
+
+
 def only_accounts_of_type(spark, d):
     return A.select_candidates(_joined(spark, d), A.only_accounts_of_type("CHEQUING")).select(*P.PERSON_COLS)
 
@@ -368,11 +396,14 @@ QUERIES: dict[str, Query] = {
     "events_ordered": _report("events_ordered"),
     "min_amount_by_type": _report("min_amount_by_product"),
     "max_amount_by_type": _report("max_amount_by_product"),
+    "product_summary_sql": product_summary_sql,
     "saved_table": saved_table,
     "float_sum_by_flag": float_sum_by_flag,
     "accounts_by_person": accounts_by_person_q,
     "account_positions": account_positions,
     "person_accounts": person_accounts,
+    "bucketed_person_accounts": bucketed_person_accounts,
+    "candidate_selections": candidate_selections,
     "large_savings_high_earners": large_savings_high_earners,
     "broker_candidates": broker_candidates,
     "credit_assistance_candidates": credit_assistance_candidates,
@@ -399,4 +430,5 @@ QUERIES: dict[str, Query] = {
     "message_format": message_format,
     "message_parse": message_parse,
     "stream_messages": stream_messages,
+    **TOPIC_QUERIES,
 }

@@ -16,15 +16,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     The setting is read from the session.  Only a local-mode session without
     it (tests, notebooks) gets a folder of its own, created once per
-    application; a cluster session without it is an error, because a
+    application and also set for ``checkpoint()``; a cluster session without it is an error, because a
     machine-local folder is not visible to executors.
     """
-    if not hasattr(spark, "_jsparkSession"):  # Spark Connect
+    sc = _context(spark)
+    if sc is None:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         return base.rstrip("/")
-    sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not (sc.master == "local" or sc.master.startswith("local[")):
@@ -33,9 +33,19 @@ def shared_dir(spark: SparkSession) -> str:
         if base is None:
             base = tempfile.mkdtemp(prefix="quarry-shared-")
             _LOCAL_SHARED[sc.applicationId] = base
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The Spark context, or None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - which error says so depends on the client
+        return None
+
+
 _SCRATCH: dict[str, list[str]] = {}
 
 
@@ -47,7 +57,8 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
 
 
 def _application(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId if hasattr(spark, "_jsparkSession") else "connect"
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else "connect"
 
 
 def scratch_mark(spark: SparkSession) -> int:

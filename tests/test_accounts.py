@@ -166,3 +166,21 @@ def test_list_answers_of_a_person_cut_into_runs(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert got["BROKER"] == {"hot": (True, False, 0), "p": (True, True, 1), "q": (False, False, None)}
     assert got["SAVINGS"]["hot"] == (True, False, 1500)
+
+
+def test_no_list_is_longer_than_a_run(spark, monkeypatch):
+    monkeypatch.setattr(A, "RUN", 7)
+    rows = [(i, "hot" if i % 3 else f"p{i % 5}", "SAVINGS", i) for i in range(200)]
+    acc = spark.createDataFrame(rows, "id long, person_id string, type string, balance int").repartition(3)
+    got = {}
+    for r in sorted(A.accounts_by_person(acc).collect(), key=lambda r: (r.person_id, r.run)):
+        assert 0 < len(r.accounts) <= 7
+        got.setdefault(r.person_id, []).extend(a.id for a in r.accounts)
+    assert got == {p: [i for i, q, _, _ in rows if q == p] for p in {r[1] for r in rows}}
+
+
+def test_no_text_has_no_characters(spark):
+    from quarry.operators.keyed import char_totals
+
+    df = spark.createDataFrame([(None,), ("",), ("añ😀",)], "text string")
+    assert tuple(char_totals(df, "text").first()) == (3, 3) and tuple(char_totals(df.where("false"), "text").first()) == (0, 0)

@@ -88,3 +88,22 @@ def test_csv_survey_filter_pushed_and_columns_pruned(plans, spark):
 def test_no_sort_based_aggregation(plans):
     for name, p in plans.items():
         assert "SortAggregate" not in p, name
+
+
+def test_bucketed_join_has_no_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(QUERIES["bucketed_person_accounts"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in p and "Exchange" not in p
+    assert p.count("Bucketed: true") == 2
+
+
+def test_total_characters_make_no_rows(plans):
+    assert "Generate" not in plans["char_totals"] and "partial_sum" in plans["char_totals"]
+
+
+def test_topic_reads_are_arrow_batches(plans):
+    assert "BatchScan" in plans["topic_messages"] and "BatchScan" in plans["topic_offset_range"]
