@@ -16,6 +16,7 @@ table without rows gives a store without segments.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -150,14 +151,17 @@ class Encoder:
     come from a table of ``SLOTS`` places; a piece is the stored one if a 64-bit
     hash of its bytes, its length, and its first and last four bytes agree.
     The others are encoded together and cut apart by the byte lengths of their
-    tokens.  Strings of special tokens in a text are ordinary text.
+    tokens.  Added tokens (as special ones are) have no white space, so each lies
+    within a piece and gets its own id, as from the library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            if token.lstrip or token.rstrip or token.single_word or re.search(r"\s", token.content):
+                raise ValueError("an added token looks beyond its own characters")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # one character stands for one byte

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from quarry.llm import queries, tokens
+from tokenizers import Tokenizer
 
 from conftest import SF
 
@@ -14,7 +15,7 @@ PATH = queries.tokenizer_path()
 
 
 def plain(texts):
-    t = tokens.Encoder(PATH).tokenizer
+    t = Tokenizer.from_file(PATH)  # as the library gives it
     return [x.ids for x in t.encode_batch(list(texts), add_special_tokens=False)]
 
 
@@ -30,6 +31,22 @@ def test_encoder_equals_the_library(texts):
     assert ids.tolist() == [i for x in expected for i in x]
 
 
+END = "<|endoftext|>"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(ALPHABET, max_size=20).map("".join), st.integers(0, 40), st.integers(1, 3))
+def test_special_tokens_at_every_place(text, at, times):
+    texts = [text[:at] + END * times + text[at:], END + text, text + END, f"{text} {END}", f"{text}\n\n{END} ", END[:-1] + text, END[3:]]
+    ids, counts = tokens.encoder(PATH)(pa.array(texts, pa.string()))
+    assert [ids[sum(counts[:k]): sum(counts[: k + 1])].tolist() for k in range(len(texts))] == plain(texts)
+
+
+def test_special_token_ids():
+    ids, _ = tokens.Encoder(PATH)(pa.array([f"a {END} b"]))
+    assert ids.tolist() == [64, 220, 50256, 275]
+
+
 def test_encoder_forgets_and_goes_on(monkeypatch):
     monkeypatch.setattr(tokens, "POOL_IDS", 10)
     encode = tokens.Encoder(PATH)
