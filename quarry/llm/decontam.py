@@ -17,7 +17,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import common
@@ -39,6 +39,9 @@ SPAN = 9
 MASKS = tuple("".join("01"[k not in others] for k in range(SPAN, 0, -1))
               for others in [(i, j) for j in (7, 8, 9) for i in range(4, j)])
 
+#: Seeds with more than such a part of all hits are dealt out over so many tasks.
+HOT_SEEDS, SALTS = 1000, 16
+
 #: Words are runs of ASCII letters and digits and of non-ASCII characters.
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 _FACTORS = np.random.RandomState(77).randint(1, 2**62, 64, dtype=np.int64).astype(np.uint64) | np.uint64(1)
@@ -130,13 +133,18 @@ def seed_bitmaps(stored: DataFrame) -> list[np.ndarray]:
 
 # Documents -------------------------------------------------------------------
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A hash of a row's id and text, the same in every run."""
+    return F.xxhash64(doc_id, text)
+
+
 SUSPECTS = "key long, doc_id long, text string, seeds array<long>, places array<long>"
 
 
 def suspects(docs: DataFrame, bitmaps: list[np.ndarray], short: list[int]) -> DataFrame:
     """(key, doc_id, text, seeds, places) of the documents with windows whose
     seeds are in both bitmaps, and those seeds with their word places."""
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text")
 
     def search(batches):
         for part in common.slices(batches, "text"):
@@ -178,51 +186,104 @@ def best_overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, in
     return int(equal[first:end].sum()), a + first, a + end
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_equal, item_words, first_word, end_word): the best
-    overlap of each document and item that overlap.
+def seed_pairs(hits: DataFrame, stored: DataFrame) -> DataFrame:
+    """``hits`` (key, seed, at) joined with ``stored`` (seed, item, place).
 
-    Null and empty texts on either side have no words and meet nothing; equal
-    items count as one, with their smallest id; rows with the same doc_id give
-    one row per item; a null doc_id is kept as null.  Other columns are not read.
+    Seeds with more than a ``HOT_SEEDS``-th of all hits, so fewer than ``HOT_SEEDS``,
+    are dealt out over ``SALTS`` tasks each by their hits' keys.
     """
-    spark = docs.sparkSession
-    common.ship(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    items = written(benchmark_items(benchmark), "seed_items")
-    stored = written(item_seeds(items), "seeds")
-    short = [r[0] for r in items.select(F.size("words")).where(F.size("words") < LEAST_EQUAL).distinct().collect()]
-    near = written(suspects(rows, seed_bitmaps(stored), sorted(short)), "seed_suspects")
-    hits = near.select("key", F.explode(F.arrays_zip("seeds", "places")).alias("_h"))
-    hits = hits.select("key", F.col("_h.seeds").alias("seed"), F.col("_h.places").alias("at"))
-    shifts = hits.join(stored, "seed").select("key", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
-    shifts = shifts.groupBy("key", "item").agg(F.collect_list("shift").alias("shifts"))
-    laid = shifts.join(items, "item").groupBy("key").agg(F.collect_list(F.struct("item_id", "words", "shifts")).alias("near"))
-    found = near.join(written(laid, "seed_pairs"), "key").select("doc_id", "text", "near")
+    counts = written(hits.groupBy("seed").agg(F.count(F.lit(1)).alias("n")), "seed_counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("n") * HOT_SEEDS > total).select("seed", F.lit(True).alias("_hot")))
+    left = hits.join(hot, "seed", "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.col("key"), F.lit(SALTS))).otherwise(0).cast("int"))
+    every = F.when(F.col("_hot"), F.array(*[F.lit(k) for k in range(SALTS)])).otherwise(F.array(F.lit(0)))
+    right = stored.join(hot, "seed", "left").withColumn("_salt", F.explode(every))
+    return left.drop("_hot").join(right.drop("_hot"), ["seed", "_salt"])
+
+
+OVERLAPS = [f"{c} long" for c in ("key", "doc_id", "item_id", "n_equal", "item_words", "first_word", "end_word")]
+
 
-    def overlaps(batches):
+def overlaps(near: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The overlaps (:data:`OVERLAPS`) of the documents ``near`` (key, doc_id, text)
+    with the items of ``pairs`` (key, item_id, words, shifts).
+
+    Each document's text is followed by its items, one row each, in sorted
+    partitions, so a document of many items holds one of them at a time.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    texts = near.select("key", F.lit(0).alias("kind"), "doc_id", "text", none("long").alias("item_id"),
+                        none("array<long>").alias("words"), none("array<long>").alias("shifts"))
+    items = pairs.select("key", F.lit(1).alias("kind"), none("long").alias("doc_id"), none("string").alias("text"), "item_id",
+                         "words", "shifts")
+    rows = texts.unionByName(items).repartition("key").sortWithinPartitions("key", "kind")
+
+    def compare(batches):
+        owner, doc_id, doc = None, None, None
         for part in common.slices(batches, "text"):
-            words, at = text_words(part.column(1))
+            words, at = text_words(common.text_column(part, "text"))
+            keys, kinds, ids, item_ids = (part.column(k).to_pylist() for k in (0, 1, 2, 4))
             out = []
-            for k, (doc_id, near) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):
-                doc = words[at[k]: at[k + 1]]
-                for x in near:
-                    item = np.array(x["words"], np.int64).view(np.uint64)
-                    best = max(best_overlap(doc, item, s) for s in x["shifts"])
+            for k, key in enumerate(keys):
+                if kinds[k] == 0:
+                    owner, doc_id, doc = key, ids[k], words[at[k]: at[k + 1]]
+                elif key == owner:
+                    item = np.asarray(part.column(5)[k].values).view(np.uint64)
+                    best = max(best_overlap(doc, item, s) for s in part.column(6)[k].as_py())
                     if best[0] >= min(LEAST_EQUAL, len(item)):
-                        out.append((doc_id, x["item_id"], best[0], len(item), best[1], best[2]))
+                        out.append((key, doc_id, item_ids[k], best[0], len(item), best[1], best[2]))
+            if doc is not None:
+                doc = doc.copy()  # not a view of the slice
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=[c.split()[0] for c in OVERLAPS])
 
-    rows_out = found.mapInArrow(overlaps, ", ".join(OVERLAPS))
-    best = rows_out.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_equal", "item_words", "first_word", "end_word")).alias("_b"))
-    return best.select("doc_id", "item_id", "_b.*")
+    return rows.mapInArrow(compare, ", ".join(OVERLAPS))
+
+
+def plain_rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def row_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(key, doc_id, item_id, n_equal, item_words, first_word, end_word) of every row
+    of ``docs`` and item that overlap; ``key`` is a hash of the row's id and text."""
+    common.ship(docs.sparkSession)
+    items = written(benchmark_items(benchmark), "seed_items")
+    stored = written(item_seeds(items), "seeds")
+    short = [r[0] for r in items.select(F.size("words")).where(F.size("words") < LEAST_EQUAL).distinct().collect()]
+    near = written(suspects(plain_rows(docs), seed_bitmaps(stored), sorted(short)), "seed_suspects")
+    hits = near.select("key", F.explode(F.arrays_zip("seeds", "places")).alias("_h"))
+    hits = hits.select("key", F.col("_h.seeds").alias("seed"), F.col("_h.places").alias("at"))
+    shifts = seed_pairs(hits, stored).select("key", "item", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    shifts = written(shifts.groupBy("key", "item").agg(F.collect_list("shift").alias("shifts")), "seed_shifts")
+    counts = shifts.groupBy("item").agg(F.count(F.lit(1)).alias("rows"))
+    pairs = common.join_split(shifts, items, ["item"], counts, shifts.count())
+    return overlaps(near.select("key", "doc_id", "text"), pairs)
 
 
-OVERLAPS = [f"{c} long" for c in ("doc_id", "item_id", "n_equal", "item_words", "first_word", "end_word")]
+def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_equal, item_words, first_word, end_word): the best
+    overlap of each document and item that overlap.
+
+    Null and empty texts on either side have no words and meet nothing; texts of any
+    length are searched whole, with as many items as they hold; equal items count as
+    one, with their smallest id; rows with the same doc_id give one row per item; a
+    null doc_id is kept as null.  Other columns are not read.
+    """
+    best = row_overlaps(docs, benchmark).groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("n_equal", "item_words", "first_word", "end_word")).alias("_b"))
+    return best.select("doc_id", "item_id", "_b.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose document overlaps an item."""
-    bad = written(find_contamination(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """``docs`` without the rows whose own text overlaps an item.
+
+    Rows are told apart by id and text: of rows that share an id, or have none, only
+    those with an overlap go, and rows equal in both go together.
+    """
+    own = docs.columns
+    bad = written(row_overlaps(docs, benchmark).select(F.col("key").alias("_bad")).distinct(), "contaminated")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), row_key(
+        F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_key"))
+    return rows.join(bad, rows["_key"] == bad["_bad"], "left_anti").select("_row.*")

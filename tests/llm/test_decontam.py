@@ -126,3 +126,34 @@ def test_runs_and_replaced_words_against_plain_version(spark):
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in decontam.find_contamination(df, bench).collect()} == leaks
     assert len(leaks) > 200
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, "see " + item), (None, "a clean text without an id"), (5, item + " end"), (5, "a clean text with the same id"),
+            (6, "clean"), (6, None), (7, item), (7, item)]
+    df = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], DOCS)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontam.decontaminate(df, bench).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(
+        [(None, "a clean text without an id"), (5, "a clean text with the same id"), (6, "clean"), (6, None)], key=str)
+
+
+def test_one_document_of_ten_thousand_items(spark):
+    items = [[f"i{k}w{j}" for j in range(12)] for k in range(10_000)]
+    text = " ".join(" ".join(w) for w in items)
+    df = spark.createDataFrame([(1, text, None, None, None), (2, "clean " * 30, None, None, None)], DOCS)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string").repartition(4)
+    found = decontam.find_contamination(df, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_equal, r.first_word) for r in found) == [(1, k, 12, 12 * k) for k in range(10_000)]
+
+
+def test_hot_passage_of_many_documents_and_items(spark):
+    """One passage in most documents and in many items: every pair is found."""
+    passage = " ".join(f"p{i}" for i in range(15))
+    docs = [(d, f"{passage} own{d} text{d}" if d % 3 else f"clean{d} words here", None, None, None) for d in range(300)]
+    bench = [(k, f"start{k} {passage} end{k}") for k in range(20)]
+    df = spark.createDataFrame(docs, DOCS).repartition(6)
+    found = decontam.find_contamination(df, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(d, k) for d in range(300) if d % 3 for k in range(20)]
+    assert {r.n_equal for r in found} == {15}
