@@ -59,31 +59,33 @@ FORMS = PLACES | {"left", "right", "bottom", "box", "block", "list", "section",
 PARTS, PART_MARKS = {"article", "entry", "page", "post"}, TALK | {"ad", "ads", "footer", "nav", "navigation", "pagination", "related",
                                                                  "share", "sharing", "social"}
 
-_UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(%s)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-                     % "|".join(UNSEEN), re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>")
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile("[>\"']")
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in UNSEEN}
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _UNSHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class Mark:
-    """A marked element: why, and whether an article or main opens inside it."""
+    """A marked element: why, the one around it, and whether an article or main opens
+    inside it."""
 
-    __slots__ = ("why", "article", "main")
+    __slots__ = ("why", "outer", "article", "main", "held", "off")
 
-    def __init__(self, why: str):
-        self.why, self.article, self.main = why, False, False
+    def __init__(self, why: str, outer: Mark | None):
+        self.why, self.outer, self.article, self.main, self.held, self.off = why, outer, False, False, 0, False
 
 
 class Line:
     """A block's text: its pieces, how many characters are links, where it lies;
-    ``box`` numbers the innermost open element that holds blocks."""
+    ``mark`` is the innermost marked element around it and ``box`` numbers the
+    innermost open element that holds blocks."""
 
-    __slots__ = ("pieces", "linked", "content", "off", "marks", "box")
+    __slots__ = ("pieces", "linked", "content", "off", "mark", "box")
 
-    def __init__(self, content: bool, off: bool, marks: tuple[Mark, ...], box: int):
-        self.pieces, self.linked, self.content, self.off, self.marks, self.box = [], 0, content, off, marks, box
+    def __init__(self, content: bool, off: bool, mark: Mark | None, box: int):
+        self.pieces, self.linked, self.content, self.off, self.mark, self.box = [], 0, content, off, mark, box
 
 
 def _name_marks(name: str, inside: bool) -> str:
@@ -112,112 +114,181 @@ def mark_of(name: str, attributes: str, inside: bool) -> str:
     return found
 
 
-def lines_of(page: str) -> list[Line]:
-    """The lines of a page in order.  ``open_`` holds the open elements as
-    (name, adds to boilerplate, adds to content, marks, boxes); a closing tag closes what
-    is open inside its element, and one without an element is passed over."""
-    page = _UNSEEN.sub(" ", page)
-    open_: list[tuple[str, int, int, int, int]] = []
-    marks: list[Mark] = []  # of the open elements
-    boxes, n_boxes = [0], 0
-    off = inside = links = 0
-    lines: list[Line] = []
-    line = None
+def tags_of(page: str):
+    """The pieces of a page in order: (text, "", "", "") for text, and ("", "/" or "",
+    name, attributes) for a tag; what nobody sees is a blank.
 
-    def say(raw: str):
-        nonlocal line
-        if line is None:
-            if not raw.strip():
-                return
-            line = Line(inside > 0, off > 0, tuple(marks), boxes[-1])
-            lines.append(line)
-        line.pieces.append(raw)
-        if links:
-            line.linked += len(raw)
-
-    at = 0
-    for tag in _TAG.finditer(page):
-        if tag.start() > at:
-            say(page[at: tag.start()])
-        at = tag.end()
-        if not tag[2]:
+    Every character is looked at a bounded number of times, whatever the markup: a
+    quote that never closes is a character like others, and once a tag has turned
+    out to have no end because of its quotes, quotes no longer count on that page.
+    """
+    last = {q: page.rfind(q) for q in "\"'"}
+    last_end = page.rfind(">")
+    n, at, quotes = len(page), 0, True
+    seek = 0
+    while True:
+        start = page.find("<", seek)
+        unshown = start >= 0 and page.startswith(("<!--", "<![CDATA["), start)
+        if start < 0 or start > last_end and not unshown:
+            break
+        if unshown:
+            yield page[at: start], "", "", ""
+            end = "-->" if page[start + 2] == "-" else "]]>"
+            found = page.find(end, start + 4)
+            at = seek = n if found < 0 else found + 3
+            yield " ", "", "", ""
+            continue
+        name = _NAME.match(page, start)
+        if name is None:
+            seek = start + 1
+            if page[seek: seek + 1] in ("!", "?", "/"):  # a declaration, or nothing
+                found = page.find(">", seek)
+                if found >= 0:
+                    yield page[at: start], "", "", ""
+                    at = seek = found + 1
+            continue
+        end, inside = -1, name.end()
+        while quotes:
+            stop = _STOP.search(page, inside)
+            if stop is None:
+                quotes = False
+                break
+            if stop[0] == ">":
+                end = stop.start()
+                break
+            inside = stop.end() if stop.start() == last[stop[0]] else page.find(stop[0], stop.end()) + 1
+        if end < 0:
+            end = page.find(">", name.end())
+        if end < 0:
+            break
+        if end > start:
+            yield page[at: start], "", "", ""
+        at = seek = end + 1
+        low = name[2].lower()
+        if low in _ENDS:
+            if not name[1]:
+                found = _ENDS[low].search(page, at)
+                at = seek = n if found is None else found.end()
+                yield " ", "", "", ""
+                continue
+        yield "", name[1], low, page[name.end(): end]
+    tail = page[at:]
+    cut = re.search(r"<[a-zA-Z/!?][^<>]*\Z", tail)  # a tag that the page's end cuts off
+    yield tail[: cut.start()] if cut else tail, "", "", ""
+
+
+class _Open:
+    """The open elements: (name, adds to boilerplate, to content, to links, marked, a
+    box), with the places of each name and of blocks, so that none is searched for."""
+
+    def __init__(self):
+        self.elements: list[tuple[str, int, int, int, int, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.off = self.inside = self.links = 0
+        self.mark: Mark | None = None
+        self.boxes = [0]
+
+    def push(self, name: str, off: int, inside: int, why: str, box: int) -> None:
+        self.places.setdefault(name, []).append(len(self.elements))
+        if name in BLOCKS:
+            self.blocks.append(len(self.elements))
+        self.off += off
+        self.inside += inside
+        self.links += name == "a"
+        if why:
+            self.mark = Mark(why, self.mark)
+        if box:
+            self.boxes.append(box)
+        self.elements.append((name, off, inside, name == "a", why != "", box > 0))
+
+    def close(self, name: str) -> None:
+        """Closes the innermost element of that name and all inside it, if there is one."""
+        if not self.places.get(name):
+            return
+        first = self.places[name][-1]
+        while len(self.elements) > first:
+            closed, off, inside, link, marked, box = self.elements.pop()
+            self.places[closed].pop()
+            if closed in BLOCKS:
+                self.blocks.pop()
+            self.off -= off
+            self.inside -= inside
+            self.links -= link
+            if marked:
+                self.mark = self.mark.outer
+            if box:
+                self.boxes.pop()
+
+    def in_paragraph(self) -> bool:
+        """Whether the innermost open block is a paragraph."""
+        return bool(self.blocks) and self.elements[self.blocks[-1]][0] == "p"
+
+
+def lines_of(page: str) -> tuple[list[Line], list[Mark]]:
+    """The lines of a page and its marked elements, in order.  A closing tag closes
+    what is open inside its element, and one without an element is passed over."""
+    now, lines, marks, n_boxes = _Open(), [], [], 0
+    line = None
+    for text, closing, name, attributes in tags_of(page):
+        if not name:
+            if line is None:
+                if not text or not text.strip():
+                    continue
+                line = Line(now.inside > 0, now.off > 0, now.mark, now.boxes[-1])
+                lines.append(line)
+            line.pieces.append(text)
+            if now.links:
+                line.linked += len(text)
             continue
-        name = tag[2].lower()
         if name in BLOCKS:
             line = None
         elif name == "br" and line is not None:
             line.pieces.append(" ")
-        if tag[1]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    for closed, o, c, m, b in open_[k:]:
-                        off -= o
-                        inside -= c
-                        links -= closed == "a"
-                        del marks[len(marks) - m:]
-                        del boxes[len(boxes) - b:]
-                    del open_[k:]
-                    break
+        if closing:
+            now.close(name)
             continue
-        if name in VOID or tag[3].endswith("/") and name not in BLOCKS:
+        if name in VOID or attributes.endswith("/") and name not in BLOCKS:
             continue
-        if name == "p":  # a paragraph ends the one before it
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == "p":
-                    if not any(x[0] in BLOCKS for x in open_[k + 1:]):
-                        for closed, o, c, m, b in open_[k:]:
-                            off -= o
-                            inside -= c
-                            links -= closed == "a"
-                            del marks[len(marks) - m:]
-                            del boxes[len(boxes) - b:]
-                        del open_[k:]
-                    break
-        plain = name in CONTENT or name in ("body", "html")
-        o = int(name in BOILERPLATE or name == "header" and not inside)
-        c = int(name in CONTENT)
-        why = "" if o or plain or not tag[3] else mark_of(name, tag[3], inside > 0)
-        if c:
-            for mark in marks:
-                mark.main |= name == "main"
-                mark.article |= name == "article"
+        if name == "p" and now.in_paragraph():  # a paragraph ends the one before it
+            now.close("p")
+        off = int(name in BOILERPLATE or name == "header" and not now.inside)
+        why = "" if off or name in CONTENT or name in ("body", "html") or not attributes else mark_of(name, attributes, now.inside > 0)
+        if name in CONTENT and now.mark is not None:
+            now.mark.main |= name == "main"
+            now.mark.article |= name == "article"
+        n_boxes += name in BOXES
+        now.push(name, off, int(name in CONTENT), why, n_boxes if name in BOXES else 0)
         if why:
-            marks.append(Mark(why))
-        off += o
-        inside += c
-        links += name == "a"
-        if name in BOXES:
-            n_boxes += 1
-            boxes.append(n_boxes)
-        open_.append((name, o, c, int(why != ""), int(name in BOXES)))
-    tail = page[at:]
-    cut = re.search(r"<[a-zA-Z/!?][^<>]*\Z", tail)  # a tag that the page's end cuts off
-    say(tail[: cut.start()] if cut else tail)
-    return lines
+            marks.append(now.mark)
+    return lines, marks
 
 
-def settle(lines: list[Line], texts: list[str]) -> None:
+def settle(lines: list[Line], marks: list[Mark], texts: list[str]) -> None:
     """Switches off the lines in marked elements, unless the mark cannot be meant
     for them: the element holds main or most of the page's text, an article's
     included.  Comments, which can be longer than an article, and hidden elements
     stay off if there is content elsewhere; hidden ones also if they hold none.
     Articles in a lesser marked element are teasers."""
-    held: dict[Mark, int] = {}
     total, elsewhere = 0, False
     for x, t in zip(lines, texts):
         if not x.off:
             total += len(t)
-            elsewhere = elsewhere or bool(x.content and t and not x.marks)
-            for mark in x.marks:
-                held[mark] = held.get(mark, 0) + len(t)
-    void = set()
-    for mark, size in held.items():
-        most = 2 * size > total
-        if mark.why == "other" and (mark.main or most) or not elsewhere and (
-                mark.main or most and (mark.article or mark.why != "hidden")):
-            void.add(mark)
+            elsewhere = elsewhere or bool(x.content and t and x.mark is None)
+            if x.mark is not None:
+                x.mark.held += len(t)
+    for mark in reversed(marks):  # inner ones first
+        if mark.outer is not None:
+            mark.outer.held += mark.held
+            mark.outer.main |= mark.main
+            mark.outer.article |= mark.article
+    for mark in marks:  # outer ones first
+        most = 2 * mark.held > total
+        meant = not (mark.held and (mark.why == "other" and (mark.main or most) or not elsewhere and (
+            mark.main or most and (mark.article or mark.why != "hidden"))))
+        mark.off = meant or mark.outer is not None and mark.outer.off
     for x in lines:
-        x.off = x.off or any(mark not in void for mark in x.marks)
+        x.off = x.off or x.mark is not None and x.mark.off
 
 
 def weights(lines: list[Line], texts: list[str]) -> list[int]:
@@ -273,9 +344,9 @@ def main_text(page: str | None) -> str:
     """The main text of one page: blocks joined by an empty line; "" if none."""
     if not page:
         return ""
-    lines = lines_of(page)
+    lines, marks = lines_of(page)
     texts = [" ".join(references.unescape("".join(x.pieces)).split()) for x in lines]
-    settle(lines, texts)
+    settle(lines, marks, texts)
     w = weights(lines, texts)
     if not any(w):
         return ""

@@ -1,5 +1,7 @@
 import html as references
+import random
 import re
+import time
 
 import pytest
 from quarry.llm import html, queries
@@ -102,3 +104,87 @@ def test_all_regions_of_pages_without_article():
 def test_regions_begin_with_lines_before_the_surge():
     assert html.regions([0, 5, 5, 5, 5, 90, 90, 0], 40) == [(1, 6)]
     assert html.regions([50, 0, 0, 0, 3, 1, 1, 60], 40) == [(0, 0), (4, 7)]
+
+
+#: (before, repeated, after, times that make a megabyte)
+BROKEN = {
+    "open quotes": ("", '<a b="c>x', "", 110_000), "odd quotes": ("", '<a "b', "", 200_000), "both quotes": ("", "<a 'b<a \"b", "", 100_000),
+    "mixed quotes": ("", "<a b=\"c' d>e'", "", 80_000), "tags without an end": ("", "<a ", "", 330_000), "signs": ("", "<", "", 1_000_000),
+    "open comments": ("", "<!-- a ", "", 150_000), "declarations": ("", "<!x", "", 300_000), "cdata": ("", "<![CDATA[", "", 110_000),
+    "ends without a start": ("<b>" * 100_000, "</i>", "", 170_000), "nested paragraphs": ("<p><div>" + "<b>" * 100_000, "<p>x", "", 170_000),
+    "nested marks": ("", "<div class=ad>x", "", 66_000), "marks around articles": ("", "<div class=ad><article>x", "", 40_000),
+    "open scripts": ("", "<script a='", "", 90_000), "scripts": ("", "<script>", "", 125_000), "ends of scripts": ("<script>", "</script", "", 120_000),
+    "attributes": ("<a ", "b ", ">", 500_000), "values": ("<a ", 'b=" ', ">", 250_000), "blanks": ("<p ", " ", ">y", 1_000_000),
+    "styles": ("<p style='", "; ", "'>y</p>", 450_000)}
+
+
+@pytest.mark.parametrize("name", sorted(BROKEN))
+def test_broken_pages_take_linear_time(name):
+    """A megabyte of broken markup, and the time of a half and a whole."""
+    before, repeated, after, n = BROKEN[name]
+    times = []
+    for k in (n // 2, n):
+        page = before + repeated * k + after
+        start = time.process_time()
+        html.main_text(page)
+        times.append(time.process_time() - start)
+    assert len(page) >= 900_000
+    assert times[1] < 4 and (times[1] < 0.4 or times[1] < 3.2 * times[0])
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<article><p title="a > b <c>">one</p><p>two</article>', "one\n\ntwo"), ("<article><p title='it\"s'>one</p>two</article>", "one\n\ntwo"),
+    ('<article><p class="x>one</p><p>two</p></article>', "one\n\ntwo"), ('<article><a href="x>link</a> text</article>', "link text"),
+    ("<article>a <!-- b > c --> d<!-- e", "a d"), ("<article>a<![CDATA[ <p>no</p> ]]>b</article>", "a b"),
+    ("<article><SCRIPT>if (a<b) '</p>'</Script >x</article>", "x"), ("<article>a <3 b </> c</article>", "a <3 b c"),
+    ("<article>x<style>y</article>", "x"), ("<article><textarea>a</textarea>b<title>c</title></article>", "b")])
+def test_quotes_and_unseen_parts(page, text):
+    assert html.main_text(page) == text
+
+
+def test_regions_against_plain_version():
+    """Each surge by itself: forward to its dive, back over lines with weight."""
+    rng = random.Random(6)
+    for _ in range(3000):
+        w = [rng.choice([0, 0, 1, 3, 5, 30, 60]) for _ in range(rng.randint(0, 25))]
+        surge = rng.choice([1, 10, 40, 90])
+        sums = [sum(w[k: k + html.WINDOW]) for k in range(len(w))]
+        kept = set()
+        for s in range(len(w)):
+            if sums[s] >= surge and w[s]:
+                first = end = s
+                while first and w[first - 1]:
+                    first -= 1
+                while end < len(w) and sums[end] > 0 and (sums[end] >= surge or w[end]):
+                    end += 1
+                kept |= {k for k in range(first, end) if w[k]}
+        assert kept == {k for a, b in html.regions(w, surge) for k in range(a, b + 1) if w[k]}
+
+
+def test_pages_without_article_against_plain_version():
+    """Blocks in boxes with adverts between them: what stays, told from the weights alone."""
+    rng = random.Random(7)
+    for _ in range(300):
+        page, w, boxes, texts = ["<body>"], [], [], []
+        for box in range(1, rng.randint(2, 5)):
+            page.append("<div>")
+            for _ in range(rng.randint(1, 6)):
+                advert, size = rng.random() < 0.3, rng.choice([5, 20, 80, 200, 900])
+                text = f"{len(texts)}" + "x" * size
+                page.append(f"<p hidden>{text}</p>" if advert else f"<p>{text}</p>")
+                w.append(0 if advert else len(text))
+                boxes.append(box)
+                texts.append(text)
+            page.append("</div>")
+        weighty = sorted(k for k in w if k)
+        if not weighty:
+            continue
+        mid = len(weighty) // 2
+        typical = weighty[mid] if len(weighty) % 2 else (weighty[mid - 1] + weighty[mid]) / 2
+        sums = [sum(w[k: k + 3]) for k in range(len(w))]
+        surge = min(max(sums), max(40, 0.2 * 3 * typical))
+        kept = sorted({k for a, b in html.regions(w, surge) for k in range(a, b + 1)})
+        between = [(a, b) for (_, a), (b, _) in zip(html.regions(w, surge), html.regions(w, surge)[1:])]
+        for a, b in between:
+            kept += [k for k in range(a + 1, b) if b - a <= 4 or boxes[k] == boxes[a] == boxes[b]]
+        assert html.main_text("".join(page)) == "\n\n".join(texts[k] for k in sorted(set(kept)) if w[k])
