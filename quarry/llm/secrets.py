@@ -134,12 +134,15 @@ def _node(node) -> tuple[frozenset | None, Clauses]:
 # The index -------------------------------------------------------------------
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
-    """(trigram, doc_id) for the given trigrams, from lower-cased whole texts."""
-    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
-    wanted = F.array(*[F.lit(t) for t in trigrams])
-    has = docs.select("doc_id", text.alias("_t")).select(
-        "doc_id", F.filter(wanted, lambda t: F.contains(F.col("_t"), t)).alias("_has"))
-    return has.select(F.explode("_has").alias("trigram"), "doc_id")
+    """(trigram, doc_id) for the given trigrams, from lower-cased whole texts.
+
+    Each text is lowered once and searched in compiled code, and the lists are
+    written before they are unfolded: otherwise the optimizer would search every
+    text again, and lower it for each trigram, to drop texts without any.
+    """
+    has = docs.select("doc_id", F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("_t")).select(
+        "doc_id", F.array_compact(F.array(*[F.when(F.contains(F.col("_t"), F.lit(t)), F.lit(t)) for t in trigrams])).alias("_has"))
+    return written(has, "trigram_lists").select(F.explode("_has").alias("trigram"), "doc_id")
 
 
 def candidates(index: DataFrame, queries: dict[str, Clauses]) -> DataFrame:
@@ -224,7 +227,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     trigrams = sorted({t for q in queries.values() for clause in q for t in clause})
     rows = docs.withColumn("kinds", F.array().cast("array<string>"))
     if trigrams:
-        index = written(postings(docs, trigrams), "trigram_postings")
+        index = postings(docs, trigrams)
         found = written(candidates(index, queries).withColumnRenamed("doc_id", "_d"), "trigram_candidates")
         rows = docs.join(found, docs["doc_id"].eqNullSafe(found["_d"]), "left").drop("_d")
     chosen = [F.array_contains("kinds", r.kind) if r.kind in queries else F.col("text").rlike(r.pattern) for r in rules]
