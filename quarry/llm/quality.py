@@ -121,12 +121,14 @@ def quality_rules(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame
 
     Null and empty texts have no words and so fail the base rule.  Every row is
     judged by itself; repeated rows and null ids keep their rows.  Columns of
-    ``docs`` with the name of a result are replaced.
+    ``docs`` with the name of a result are replaced; all others stay, whatever
+    their names.
     """
     results = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                *[name for name, _, _ in rules]]
-    own = [c for c in docs.columns if c.lower() not in results and not c.lower().startswith("_")]
-    out = base_counts(docs.select(*[F.col(f"`{c}`") for c in own]), text)
+    own = [c for c in docs.columns if c.lower() not in results]
+    # the row travels packed, so its columns meet none of the helpers'
+    out = base_counts(docs.select(F.col(f"`{text}`").alias("_in"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_own")), "_in")
     measured = ratios()
     out = out.withColumns({name: measured[name] for name, _, _ in rules})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
@@ -136,8 +138,8 @@ def quality_rules(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame
             passes &= F.coalesce(F.col(name) >= least, F.lit(True))
         if most is not None:
             passes &= F.coalesce(F.col(name) <= most, F.lit(True))
-    return (out.withColumn("base_failed", failed).withColumn("kept", ~failed & passes)
-            .drop("_text", "_words", "_lines"))
+    out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & passes)
+    return out.select("_own.*", *results)
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
