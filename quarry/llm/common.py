@@ -53,11 +53,44 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again (cuts lineage)."""
-    path = scratch_path(df.sparkSession, f"llm/{kind}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, kind: str, arrow_rows: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read again (cuts lineage);
+    ``arrow_rows`` bounds the rows that reach a Python worker at a time."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm/{kind}")
+    before = spark.conf.get(ARROW_ROWS)
+    if arrow_rows:
+        spark.conf.set(ARROW_ROWS, str(arrow_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Tasks over which a hot key is dealt out.
+SALTS = 16
+
+
+def heavy(rows: DataFrame, key: str) -> list[int]:
+    """The keys (long) that may hold more than a ``HOT_KEYS``-th of ``rows``, by a
+    sketch of fixed size: fewer than ``HOT_KEYS`` numbers, whatever the data."""
+    found = rows.agg(F.expr(f"approx_top_k({key}, {HOT_KEYS}, {8 * HOT_KEYS})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(x["item"] for x in found["top"] or [] if x["item"] is not None and x["count"] * HOT_KEYS > found["n"])
+
+
+def salted_join(rows: DataFrame, other: DataFrame, key: str, hot: list[int], by: str) -> DataFrame:
+    """Inner join on ``key``; rows of ``hot`` keys are dealt out over ``SALTS`` tasks by
+    their column ``by``, and the other side's are repeated for each."""
+    if not hot:
+        return rows.join(other, key)
+    is_hot = F.col(key).isin(hot)
+    left = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int"))
+    every = F.when(is_hot, F.array(*[F.lit(k) for k in range(SALTS)])).otherwise(F.array(F.lit(0)))
+    return left.join(other.withColumn("_salt", F.explode(every)), [key, "_salt"]).drop("_salt")
 
 
 #: Keys that join by broadcast in :func:`join_split`, at most.

@@ -7,7 +7,8 @@ pair has to pass under several orders before it is verified:
 1. by hash, ascending: a document stays only if enough tokens of its (slightly
    longer) prefix are also in the prefix of a different set;
 2. by document frequency, rare first, among those: pairs come from this order;
-3. by hash, ascending and descending, pair by pair.
+3. by hash, ascending and descending: of the pairs that are left after the rounds
+   below, only those whose prefixes meet under both have their sets compared.
 
 Equal sets form one class, named by its digest, with one representative row, so
 copies are never paired.  Rows are told apart by a hash of id and text (ids may
@@ -33,6 +34,9 @@ from quarry.session import scratch_path, unique_name
 WORDS = 5
 PERCENT = 75
 STAR_ROUNDS = 2
+#: Texts of the scans are taken in slices of so many bytes, from batches of so many rows.
+SCAN_BYTES = 1 << 18
+SCAN_ROWS = 2000
 _FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
 
@@ -104,13 +108,16 @@ def with_heads(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n, sig, head) per document: size and digest of its set, and
     the longer prefix in ascending order of hashes."""
     def rows(batches):
-        for part in common.slices(batches, "text"):
+        for part in common.slices(batches, "text", SCAN_BYTES):
             sets = shingle_sets(*common.buffers_of(common.text_column(part, "text")))
+            sizes, digests = [len(s) for s in sets], [signature(s) for s in sets]
+            heads = _list_array([s[: _prefix(len(s), _extra(len(s)))] if len(s) else s for s in sets])
+            del sets
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([signature(s) for s in sets], pa.int64()),
-                 _list_array([s[: _prefix(len(s), _extra(len(s)))] if len(s) else s for s in sets])],
+                [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), heads],
                 names=["doc_id", "key", "n", "sig", "head"])
+            del heads
+            pa.default_memory_pool().release_unused()
 
     keyed = _texts(docs).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     return keyed.mapInArrow(rows, "doc_id long, key long, n long, sig long, head array<long>")
@@ -121,8 +128,14 @@ def alive(heads: DataFrame, classes: DataFrame) -> DataFrame:
     copies = heads.select("key", "sig", "n").join(classes, ["sig", "n"]).where("key <> row").select("key")
     copies = written(copies.distinct(), "jaccard_copies")
     lists = heads.join(copies, "key", "left_anti").select("sig", F.explode("head").alias("token"))
-    bounds = lists.withColumns({"_a": F.min("sig").over(_by("token")), "_b": F.max("sig").over(_by("token"))})
-    met = bounds.where("_a <> _b").groupBy("sig").agg(F.count("*").alias("met"))
+    hot = common.heavy(lists, "token")
+    is_hot = F.col("token").isin(hot) if hot else F.lit(False)
+    bounds = lists.where(~is_hot).withColumns({"_a": F.min("sig").over(_by("token")), "_b": F.max("sig").over(_by("token"))})
+    shared = bounds.where("_a <> _b").select("sig")
+    if hot:  # their rows stay where they are
+        of_two = lists.where(is_hot).groupBy("token").agg(F.min("sig").alias("_a"), F.max("sig").alias("_b")).where("_a <> _b")
+        shared = shared.unionByName(lists.where(is_hot).join(F.broadcast(of_two.select("token")), "token").select("sig"))
+    met = shared.groupBy("sig").agg(F.count("*").alias("met"))
     # the partner may be smaller, by a quarter at most
     need = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 8)
     return classes.join(met, "sig").where(F.col("met") >= need).select("sig", "n", "row")
@@ -165,14 +178,19 @@ def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
     return rows.mapInArrow(sets, "rep long, n long, set array<long>").dropDuplicates(["rep"])
 
 
-def bucketed(sets: DataFrame) -> DataFrame:
-    """``sets`` as a table in buckets of ``rep``: the joins of every round find
-    the sets where they lie and move only pairs."""
+def bucketed(sets: DataFrame) -> tuple[str, DataFrame]:
+    """``sets`` as a table (its name, and itself) in buckets of ``rep``: the joins of
+    every round find the sets where they lie and move only pairs."""
     spark = sets.sparkSession
     name = unique_name("jaccard_sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets.repartition(n, "rep").write.bucketBy(n, "rep").option("path", scratch_path(spark, "llm/sets")).saveAsTable(name)
-    return spark.table(name)
+    before = spark.conf.get(common.ARROW_ROWS)
+    spark.conf.set(common.ARROW_ROWS, str(SCAN_ROWS))
+    try:
+        sets.repartition(n, "rep").write.bucketBy(n, "rep").option("path", scratch_path(spark, "llm/sets")).saveAsTable(name)
+    finally:
+        spark.conf.set(common.ARROW_ROWS, before)
+    return name, spark.table(name)
 
 
 def prefix_lists(sets: DataFrame) -> DataFrame:
@@ -183,7 +201,12 @@ def prefix_lists(sets: DataFrame) -> DataFrame:
     others share: among copies with edits it is greatest for their original.
     """
     tokens = sets.select("rep", "n", F.explode("set").alias("token"))
-    shared = tokens.withColumn("df", F.count("*").over(_by("token"))).where("df > 1")
+    hot = common.heavy(tokens, "token")
+    is_hot = F.col("token").isin(hot) if hot else F.lit(False)
+    shared = tokens.where(~is_hot).withColumn("df", F.count("*").over(_by("token"))).where("df > 1")
+    if hot:  # counted without being gathered
+        counts = tokens.where(is_hot).groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+        shared = shared.unionByName(tokens.where(is_hot).join(F.broadcast(counts), "token").select("rep", "n", "token", "df"))
     ordered = shared.groupBy("rep", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("_t"), (F.sum(F.log2("df")) / F.col("n")).alias("middle"))
     ordered = ordered.withColumn("size", F.size("_t").cast("long"))
@@ -203,7 +226,15 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     their bit taken."""
     left = sets.select(F.col("rep").alias("a"), F.col("set").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("set").alias("y"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    # a hub that many meet: its few sets are repeated, so that its pairs are dealt out
+    counts = pairs.groupBy("b").agg(F.count("*").alias("n"))
+    total = pairs.count()
+    hot = [r["b"] for r in counts.where(F.col("n") * common.HOT_KEYS > total).where(F.col("n") > 1).select("b").collect()]
+    is_hot = F.col("b").isin(hot) if hot else F.lit(False)
+    both = pairs.where(~is_hot).select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    if hot:
+        some = pairs.where(is_hot).select("a", "b").join(left, "a")
+        both = both.unionByName(common.salted_join(some, right.where(is_hot), "b", hot, "a").select("a", "b", "x", "y"))
 
     def measure(batches):
         for batch in batches:
@@ -249,6 +280,17 @@ def similar_sets(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * common_tokens >= PERCENT * (n + m - common_tokens)
 
 
+def under_hash_orders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share a token in their prefixes under ascending and under
+    descending order of hashes, too; only prefixes are compared."""
+    size = (F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100) + 1).cast("int")
+    ends = lambda side: sets.select(
+        F.col("rep").alias(side), F.slice("set", F.lit(1), size).alias(f"low_{side}"),
+        F.slice("set", F.col("n").cast("int") - size + 1, size).alias(f"high_{side}"))
+    both = pairs.select("a", "b").join(ends("a"), "a").join(ends("b"), "b")
+    return both.where(F.arrays_overlap("low_a", "low_b") & F.arrays_overlap("high_a", "high_b")).select("a", "b")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable, for every node of ``links``.
 
@@ -282,28 +324,30 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:
     """(rep, comp) over all links of the sets."""
+    hot = common.heavy(lists, "token")
     labels = written(sets.select("rep", F.col("rep").alias("comp")), "jaccard_components")
     measures = None
     for choose in (list_hubs, centers)[:STAR_ROUNDS]:
         rows = lists.select("token", "rep", "n", "middle").join(labels, "rep")
-        measures = written(measured(written(choose(rows), "jaccard_star"), sets), "jaccard_links")
+        measures = written(measured(written(choose(rows, hot), "jaccard_star"), sets), "jaccard_links")
         labels = merged(labels, measures.where("similar"))
     if measures:
         measures = measures.drop("similar").withColumnsRenamed({"a": "rep", "b": "hub"})
     rows = lists.drop("middle").join(labels, "rep")
     mixed_lists = rows.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b").select("token")
-    rows = rows.join(mixed_lists, "token", "left_semi")
+    rows = common.salted_join(rows, mixed_lists, "token", hot, "rep")
     told = ["hub", "shared", "other0", "other1", "other2", "other3", "folded"]
     rows = rows.join(measures, "rep", "left") if measures else rows.withColumns({c: F.lit(None).cast("long") for c in told})
     rows = written(rows, "jaccard_rest")
     one, other = (rows.select("token", *[F.col(c).alias(c + side) for c in ("rep", "n", "at", "size", "comp", *told)]) for side in ("1", "2"))
     # what the first common token of a pair leaves of both sets; later ones may miss it
     most = F.least(F.col("size1") - F.col("at1"), F.col("size2") - F.col("at2"))
-    pairs = one.join(other, "token").where(
+    pairs = common.salted_join(one, other, "token", hot, "rep1").where(
         (F.col("rep1") < F.col("rep2")) & (F.col("comp1") != F.col("comp2")) & _sizes_fit(F.col("n1"), F.col("n2"))
         & ((100 + PERCENT) * most >= PERCENT * (F.col("n1") + F.col("n2"))) & may_reach("1", "2"))
     pairs = pairs.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
-    return merged(labels, written(measured(written(pairs, "jaccard_pairs"), sets), "jaccard_links").where("similar"))
+    pairs = written(under_hash_orders(written(pairs, "jaccard_pairs"), sets), "jaccard_filtered")
+    return merged(labels, written(measured(pairs, sets), "jaccard_links").where("similar"))
 
 
 def _hub_of_list(rows: DataFrame) -> DataFrame:
@@ -313,21 +357,21 @@ def _hub_of_list(rows: DataFrame) -> DataFrame:
     return hubs.select("token", "_mixed", F.col("_h.rep").alias("hub"), F.col("_h.comp").alias("_hc"), F.col("_h.n").alias("_hn"))
 
 
-def list_hubs(rows: DataFrame) -> DataFrame:
+def list_hubs(rows: DataFrame, hot: list[int]) -> DataFrame:
     """(a, b): each representative with the hub, of another component, that it
     meets in most lists."""
-    near = rows.join(_hub_of_list(rows).where("_mixed"), "token").where(
+    near = common.salted_join(rows, _hub_of_list(rows).where("_mixed"), "token", hot, "rep").where(
         (F.col("comp") != F.col("_hc")) & _sizes_fit(F.col("n"), F.col("_hn")))
     return near.groupBy("rep", "hub").agg(F.count("*").alias("_c")).groupBy("rep").agg(
         F.max(F.struct("_c", "hub")).alias("_h")).select(F.col("rep").alias("a"), F.col("_h.hub").alias("b"))
 
 
-def centers(rows: DataFrame) -> DataFrame:
+def centers(rows: DataFrame, hot: list[int]) -> DataFrame:
     """(a, b): each representative with the middle of the component that it
     meets in most lists, its own or another."""
     middles = rows.groupBy("comp").agg(F.max(F.struct("middle", "rep")).alias("_m")).select(
         F.col("comp").alias("_hc"), F.col("_m.rep").alias("b"))
-    met = rows.join(_hub_of_list(rows), "token").groupBy("rep", "_hc").agg(F.count("*").alias("_c"))
+    met = common.salted_join(rows, _hub_of_list(rows), "token", hot, "rep").groupBy("rep", "_hc").agg(F.count("*").alias("_c"))
     best = met.groupBy("rep").agg(F.max(F.struct("_c", "_hc")).alias("_h")).select(F.col("rep").alias("a"), F.col("_h._hc").alias("_hc"))
     return best.join(middles, "_hc").where("a <> b").select("a", "b")
 
@@ -341,14 +385,15 @@ def row_components(docs: DataFrame) -> DataFrame:
     tells components apart, also those with the same smallest id or without ids;
     it is null for empty sets."""
     common.ship(docs.sparkSession)
-    heads = written(with_heads(docs), "jaccard_heads")
+    heads = written(with_heads(docs), "jaccard_heads", SCAN_ROWS)
     slim = heads.select("doc_id", "key", "n", "sig")
     classes = written(slim.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.min("key").alias("row")),
                       "jaccard_classes")
     living = written(alive(heads, classes), "jaccard_alive")
-    sets = bucketed(sets_of(docs, living))
+    name, sets = bucketed(sets_of(docs, living))
     lists = written(prefix_lists(sets), "jaccard_lists")
     labels = linked_components(lists, sets).withColumnRenamed("rep", "sig")
+    sets.sparkSession.sql(f"DROP TABLE {name}")  # all that follows is written
     names = labels.join(classes, "sig").groupBy("comp").agg(F.min("least").alias("name"))
     named = classes.join(labels.join(names, "comp"), "sig", "left").select(
         "sig", "n", F.coalesce("comp", "sig").alias("node"), F.coalesce("name", "least").alias("component_id"))
