@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import chat, decontam, html, jaccard, licences, merkle, mixing, quality, secrets, tokens, toxicity, trie, warc
 from quarry.llm.common import table, written
+from quarry.llm.oracle import ORACLE  # noqa: F401 - registered with the queries
 
 
 def tokenizer_path() -> str:
@@ -95,4 +96,3 @@ QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_quality_rules, op3_mix_sources, op4_secret_scan, op5_warc, op6_toxicity, op7_ngram_jaccard,
     op8_main_text, op9_decontamination, op10_chat_format, op11_prefix_trie,
     op12_merkle_manifest, op13_license_scan)}
-ORACLE: dict[str, str] = {}

@@ -56,3 +56,13 @@ def test_rules_part_good_from_bad(spark):
 def test_native(spark):
     plan = queries.op2_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "some words here", 1, 2, 3, 4, 5, "x")],
+                               "doc_id long, text string, _in int, _own int, _text int, _words int, _Lines int, N_words string")
+    row = quality.quality_rules(df).first()
+    assert (row["_in"], row["_own"], row["_text"], row["_words"], row["_Lines"], row["n_words"]) == (1, 2, 3, 4, 5, 3)
+    good = "the cat and the dog of the house are in the garden with a ball and that is all"
+    kept = quality.keep_good(spark.createDataFrame([(1, good, 7, 8)], "doc_id long, text string, _row int, row int"))
+    assert [tuple(r) for r in kept.collect()] == [(1, good, 7, 8)]
