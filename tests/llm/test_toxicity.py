@@ -29,14 +29,69 @@ def test_unseen_misspellings(model):
     assert scores[0] < 0.5 and all(scores[1:4] > 0.5) and 0 <= scores[4] < 0.5
 
 
+M64 = (1 << 64) - 1
+
+
+def plain_bucket(h):
+    return ((h * 0xBF58476D1CE4E5B9) & M64) >> 47
+
+
+def plain_mixed(h):
+    h ^= h >> 30
+    h = (h * 0xBF58476D1CE4E5B9) & M64
+    h ^= h >> 27
+    h = (h * 0x94D049BB133111EB) & M64
+    return h ^ (h >> 31)
+
+
+def plain_word(model, word):
+    """The average of a word's n-grams and of itself."""
+    factors = [int(f) for f in toxicity._FACTORS]
+    code = [1, *map(ord, word), 1]
+    grams = [sum(c * f for c, f in zip(code[i:i + n], factors)) & M64 for n in (3, 4, 5) for i in range(len(code) - n + 1)]
+    grams.append(sum(plain_mixed((ord(c) * factors[2] + i * factors[3]) & M64) for i, c in enumerate(word)) & M64)
+    return sum(float(model.bucket_logits[plain_bucket(g)]) for g in grams) / (len(grams) + toxicity.BLANKS)
+
+
+def plain_score(model, text):
+    words = toxicity.WORD.findall(text.lower())
+    values = [0.0 if w in words[max(0, i - toxicity.WINDOW + 1): i] else plain_word(model, w) for i, w in enumerate(words)]
+    windows = [sum(values[i:i + toxicity.WINDOW]) for i in range(max(1, len(words) - toxicity.WINDOW + 1))]
+    return 1 / (1 + np.exp(-(max(windows) / toxicity.WINDOW + model.bias)))
+
+
 def test_score_equals_plain_averages(model):
-    model, _ = model
-    for text in ("One two, three", "é日本 x", " ".join(f"word{i}" for i in range(30)), "a", "...", ""):
-        words = toxicity.WORD.findall(text.lower())
-        of_word = [model.score([w])[0] for w in words]
-        logits = [np.log(p / (1 - p)) - model.bias for p in of_word]  # of a window with one word: a WINDOW-th of it
-        windows = [sum(logits[i:i + toxicity.WINDOW]) for i in range(0, len(logits), toxicity.WINDOW)] or [0.0]
-        assert model.score([text])[0] == pytest.approx(1 / (1 + np.exp(-(max(windows) + model.bias))), abs=1e-5)
+    model, plain = model
+    rng = np.random.RandomState(5)
+    texts = ["One two, three", "é日本 x", " ".join(f"word{i}" for i in range(30)), "a", "...", "", "a a a a b a",
+             " ".join(rng.choice(plain, 300)), " ".join(["zquvkoo", *rng.choice(plain[:9], 200), "zquvkoo zquvkoo"]), "Zquvk" * 50]
+    assert model.score(texts) == pytest.approx([plain_score(model, t) for t in texts], abs=1e-6)
+    assert [model.score([t])[0] for t in texts] == pytest.approx(model.score(texts).tolist())
+
+
+def test_words_before_a_passage_change_nothing(model):
+    model, plain = model
+    bad = " ".join([*plain[:toxicity.WINDOW], "zquvkaie zquvkoei", *plain[-toxicity.WINDOW:]])
+    scores = [model.score([" ".join([*["lala"] * k, bad])])[0] for k in range(9)]
+    assert max(scores) - min(scores) < 1e-9
+
+
+def test_repeating_a_word_adds_nothing(model):
+    model, plain = model
+    for w in ("zquvkoo", plain[0], plain[7]):
+        assert model.logits([" ".join([w] * 60)])[0] == pytest.approx(model.logits([w])[0], abs=1e-9)
+
+
+def test_sample_draws_long_texts_whole(spark, monkeypatch):
+    texts = {1: "x " * 30_000, 2: "short", 3: "y " * 10, 4: None, 6: "z"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in texts], "doc_id long, quality int, toxic int")
+    kept = {i: t or "" for i, t in texts.items() if zlib.crc32(str(i).encode()) % 5}
+    found, _ = toxicity.training_sample(docs, labels)
+    assert sorted(found) == sorted(kept.values())
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", (10, 70_000))
+    found, classes = toxicity.training_sample(docs, labels)
+    assert sum(len(t) for t, c in zip(found, classes) if c == 0) <= 10 and sum(map(len, found)) <= 70_010
 
 
 def test_held_out_accuracy(spark):
