@@ -1,4 +1,4 @@
-"""Write PLANS.md: for every registered query, the final (post-AQE) physical
+"""Write PLANS.md: for every registered query outside llm, the final (post-AQE) physical
 plan at a scale factor and a one-line summary of its shuffles, joins,
 partial aggregates, pushed filters and Python nodes.
 
@@ -13,7 +13,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from __spark_entry__ import queries  # noqa: E402
+from quarry.plans.registry import QUERIES  # noqa: E402
 from quarry.session import local_session  # noqa: E402
 
 
@@ -38,7 +38,7 @@ def summarize(p: str) -> dict[str, str]:
             r"\b(Inner|LeftOuter|LeftSemi|LeftAnti|RightOuter|FullOuter|Cross)\b", p)
     ))
     pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", p)))
-    python = sorted(set(re.findall(r"(MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)", p)))
+    python = sorted(set(re.findall(r"(MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)", p)))
     return {
         "shuffles": ", ".join(f"{k} {v}" for k, v in shuffles.items() if v) or "none",
         "joins": ", ".join(joins) or "-",
@@ -54,7 +54,7 @@ def main() -> None:
     spark = local_session("8", 16, app="quarry-plans")
     spark.sparkContext.setLogLevel("ERROR")
     rows, trees = [], []
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf_dir)
         qe = df._jdf.queryExecution()
         qe.executedPlan().executeCollect()  # run it so AQE settles the final plan
@@ -63,7 +63,7 @@ def main() -> None:
         rows.append(f"| `{name}` | {s['shuffles']} | {s['joins']} | {s['partial agg']} | {s['pushed filters']} | {s['python']} |")
         trees.append(f"### {name}\n\n```\n{final_plan(p).strip()}\n```\n")
     head = (
-        f"# Physical plans\n\nFinal plans (after AQE) of every registered query at `{sf_dir}`, "
+        f"# Physical plans\n\nFinal plans (after AQE) of every registered query outside `llm` at `{sf_dir}`, "
         "local[8], 16 shuffle partitions, written by `tools/plan_report.py`. Shuffle counts: hash / "
         "range (sort) / single-partition / round-robin exchanges and broadcasts. Queries that materialise an "
         "intermediate (row index, CSV, table, stream) show the plan that reads it back.\n\n"
