@@ -148,8 +148,8 @@ def _by(*keys):
 
 
 def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
-    """(rep, n, set) of the living classes, from their representatives' texts;
-    ``rep`` is the digest that names a class.
+    """(rep, n, set) of the living classes, from their representatives' texts (more than
+    once for repeated rows); ``rep`` is the digest that names a class.
 
     A bitmap of the row keys (of fixed size) keeps most other texts out of the join.
     """
@@ -175,7 +175,7 @@ def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
                 [part.column(0).take(pa.array(same, pa.int64())), pa.array([len(found[k]) for k in same], pa.int64()),
                  _list_array([found[k] for k in same])], names=["rep", "n", "set"])
 
-    return rows.mapInArrow(sets, "rep long, n long, set array<long>").dropDuplicates(["rep"])
+    return rows.mapInArrow(sets, "rep long, n long, set array<long>")
 
 
 def bucketed(sets: DataFrame) -> tuple[str, DataFrame]:
@@ -187,7 +187,8 @@ def bucketed(sets: DataFrame) -> tuple[str, DataFrame]:
     before = spark.conf.get(common.ARROW_ROWS)
     spark.conf.set(common.ARROW_ROWS, str(SCAN_ROWS))
     try:
-        sets.repartition(n, "rep").write.bucketBy(n, "rep").option("path", scratch_path(spark, "llm/sets")).saveAsTable(name)
+        # rows equal in id and text give one set each; they meet in the bucket's task
+        sets.repartition(n, "rep").dropDuplicates(["rep"]).write.bucketBy(n, "rep").option("path", scratch_path(spark, "llm/sets")).saveAsTable(name)
     finally:
         spark.conf.set(common.ARROW_ROWS, before)
     return name, spark.table(name)
