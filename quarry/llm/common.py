@@ -7,6 +7,7 @@ import posixpath
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -56,18 +57,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+@contextmanager
+def python_batches(spark: SparkSession, rows: int | None):
+    """Within it at most ``rows`` rows (None: as set) reach a Python worker at a time."""
+    before = spark.conf.get(ARROW_ROWS)
+    if rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def written(df: DataFrame, kind: str, arrow_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read again (cuts lineage);
     ``arrow_rows`` bounds the rows that reach a Python worker at a time."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{kind}")
-    before = spark.conf.get(ARROW_ROWS)
-    if arrow_rows:
-        spark.conf.set(ARROW_ROWS, str(arrow_rows))
-    try:
+    with python_batches(spark, arrow_rows):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

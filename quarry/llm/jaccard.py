@@ -104,28 +104,39 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit("")))
 
 
+def with_digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n, sig) per document: size and digest of its set."""
+    return _scanned(docs, "doc_id long, key long, n long, sig long")
+
+
 def with_heads(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n, sig, head) per document: size and digest of its set, and
     the longer prefix in ascending order of hashes."""
+    return _scanned(docs, "doc_id long, key long, n long, sig long, head array<long>")
+
+
+def _scanned(docs: DataFrame, schema: str) -> DataFrame:
+    names = [c.split()[0] for c in schema.split(", ")]
+
     def rows(batches):
         for part in common.slices(batches, "text", SCAN_BYTES):
             sets = shingle_sets(*common.buffers_of(common.text_column(part, "text")))
-            sizes, digests = [len(s) for s in sets], [signature(s) for s in sets]
-            heads = _list_array([s[: _prefix(len(s), _extra(len(s)))] if len(s) else s for s in sets])
+            columns = [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
+                       pa.array([signature(s) for s in sets], pa.int64())]
+            if "head" in names:
+                columns.append(_list_array([s[: _prefix(len(s), _extra(len(s)))] if len(s) else s for s in sets]))
             del sets
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.int64()), heads],
-                names=["doc_id", "key", "n", "sig", "head"])
-            del heads
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            del columns
             pa.default_memory_pool().release_unused()
 
     keyed = _texts(docs).withColumn("key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.mapInArrow(rows, "doc_id long, key long, n long, sig long, head array<long>")
+    return keyed.mapInArrow(rows, schema)
 
 
-def alive(heads: DataFrame, classes: DataFrame) -> DataFrame:
+def alive(slim: DataFrame, heads: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes (sig, n, row) that pass the first filter."""
-    copies = heads.select("key", "sig", "n").join(classes, ["sig", "n"]).where("key <> row").select("key")
+    copies = slim.select("key", "sig", "n").join(classes, ["sig", "n"]).where("key <> row").select("key")
     copies = written(copies.distinct(), "jaccard_copies")
     lists = heads.join(copies, "key", "left_anti").select("sig", F.explode("head").alias("token"))
     hot = common.heavy(lists, "token")
@@ -184,13 +195,9 @@ def bucketed(sets: DataFrame) -> tuple[str, DataFrame]:
     spark = sets.sparkSession
     name = unique_name("jaccard_sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    before = spark.conf.get(common.ARROW_ROWS)
-    spark.conf.set(common.ARROW_ROWS, str(SCAN_ROWS))
-    try:
+    with common.python_batches(spark, SCAN_ROWS):
         # rows equal in id and text give one set each; they meet in the bucket's task
         sets.repartition(n, "rep").dropDuplicates(["rep"]).write.bucketBy(n, "rep").option("path", scratch_path(spark, "llm/sets")).saveAsTable(name)
-    finally:
-        spark.conf.set(common.ARROW_ROWS, before)
     return name, spark.table(name)
 
 
@@ -386,11 +393,12 @@ def row_components(docs: DataFrame) -> DataFrame:
     tells components apart, also those with the same smallest id or without ids;
     it is null for empty sets."""
     common.ship(docs.sparkSession)
-    heads = written(with_heads(docs), "jaccard_heads", SCAN_ROWS)
-    slim = heads.select("doc_id", "key", "n", "sig")
+    slim = written(with_digests(docs), "jaccard_digests", SCAN_ROWS)
     classes = written(slim.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("least"), F.min("key").alias("row")),
                       "jaccard_classes")
-    living = written(alive(heads, classes), "jaccard_alive")
+    # the prefixes, most of a document's bytes, are made again from the texts where they are used
+    with common.python_batches(docs.sparkSession, SCAN_ROWS):
+        living = written(alive(slim, with_heads(docs), classes), "jaccard_alive")
     name, sets = bucketed(sets_of(docs, living))
     lists = written(prefix_lists(sets), "jaccard_lists")
     labels = linked_components(lists, sets).withColumnRenamed("rep", "sig")

@@ -105,3 +105,18 @@ def test_repeated_ids_and_rows(spark):
     assert kept.columns == df.columns
     sure = [rows[k] for k in (0, 2, 4, 5, 8, 9, 12)]
     assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == sorted((d or 0, t) for d, t in sure)
+
+
+def test_no_prefix_is_kept_on_disk(spark, monkeypatch):
+    """Only the sets of the classes that pass the first filter are written with their tokens."""
+    kept = {}
+
+    def noted(df, kind, *more):
+        kept[kind] = df.dtypes
+        return common.written(df, kind, *more)
+
+    monkeypatch.setattr(jaccard, "written", noted)
+    texts = near_copies()
+    df = spark.createDataFrame([(d, t, None, None, None) for d, t in texts.items()], DOCS).repartition(5)
+    check(jaccard.jaccard_components(df).collect(), texts)
+    assert "jaccard_alive" in kept and not [k for k, columns in kept.items() if any("array" in t for _, t in columns)]
