@@ -163,6 +163,8 @@ def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
     once for repeated rows); ``rep`` is the digest that names a class.
 
     A bitmap of the row keys (of fixed size) keeps most other texts out of the join.
+    The join moves them, however few: with a broadcast both Python functions were
+    in one task, and an executor would keep two workers for each of its cores.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << common.BITMAP_BITS)).cast("int")
     bits = common.bitmap(living.select(place(F.col("row"))))
@@ -175,7 +177,8 @@ def sets_of(docs: DataFrame, living: DataFrame) -> DataFrame:
             yield batch.select([1, 2]).filter(pa.array(keep))
 
     rows = rows.mapInArrow(chosen, "key long, text string")
-    rows = rows.join(living.select("row", F.col("sig").alias("rep")), F.col("key") == F.col("row")).select("rep", "text")
+    living = living.select("row", F.col("sig").alias("rep")).hint("shuffle_hash")
+    rows = rows.join(living, F.col("key") == F.col("row")).select("rep", "text")
 
     def sets(batches):
         for part in common.slices(batches, "text"):

@@ -16,6 +16,7 @@ table without rows gives a store without segments.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -35,6 +36,9 @@ SEGMENT_TOKENS = 1 << 18
 END_ID = 0
 SLOTS = 1 << 20
 POOL_IDS = 6 << 20
+#: Texts are taken in slices of so many bytes, from batches of so many rows.
+SCAN_BYTES = 1 << 18
+SCAN_ROWS = 2000
 MANIFEST = "shard int, seq int, path string, docs long, tokens long"
 
 
@@ -195,7 +199,7 @@ class Encoder:
         starts = np.append(starts, len(data))
         ids, counts, k = [], [], 0
         while k < len(starts) - 1:
-            upto = max(k + 1, int(np.searchsorted(starts, starts[k] + common.SLICE_BYTES, "right")) - 1)
+            upto = max(k + 1, int(np.searchsorted(starts, starts[k] + SCAN_BYTES, "right")) - 1)
             found = self._pieces(data[starts[k]: starts[upto]], starts[k: upto + 1] - starts[k])
             ids.append(found[0])
             counts.append(found[1])
@@ -269,7 +273,9 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder; its word cache is bounded and kept between tasks."""
+    """The worker's encoder; its word cache is bounded and kept between tasks.  It
+    runs in the task's own thread: each of the library's would hold memory of its own."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -314,7 +320,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
             tokens_in += len(ids)
             held, size = [], 0
 
-        for part in common.slices(batches, "text"):
+        for part in common.slices(batches, "text", SCAN_BYTES):
             ids, counts = encode(common.text_column(part, "text"))
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, END_ID)
@@ -331,7 +337,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
                                                (docs_in, pa.int64()), (tokens_in, pa.int64()))],
                 names=["shard", "seq", "path", "docs", "tokens"])
 
-    return common.written(rows.mapInArrow(shards, MANIFEST), "token_manifest")
+    return common.written(rows.mapInArrow(shards, MANIFEST), "token_manifest", SCAN_ROWS)
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:

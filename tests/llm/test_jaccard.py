@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from quarry.llm import common, jaccard, queries
 
 import brute
@@ -120,3 +121,16 @@ def test_no_prefix_is_kept_on_disk(spark, monkeypatch):
     df = spark.createDataFrame([(d, t, None, None, None) for d, t in texts.items()], DOCS).repartition(5)
     check(jaccard.jaccard_components(df).collect(), texts)
     assert "jaccard_alive" in kept and not [k for k, columns in kept.items() if any("array" in t for _, t in columns)]
+
+
+def test_one_python_worker_a_task(spark):
+    """The two Python functions of the sets lie in different stages, also if few sets live."""
+    texts = {k: f"one two three four five six {k % 3} seven" for k in range(30)}
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in texts.items()], DOCS)
+    living = jaccard.with_digests(docs).groupBy("sig", "n").agg(F.min("key").alias("row"))
+    sets = jaccard.sets_of(docs, common.written(living, "test_living"))
+    rows = sets.collect()
+    assert sorted(r.n for r in rows) == [4, 4, 4] and len({r.rep for r in rows}) == 3
+    assert all(len(r.set) == r.n for r in rows)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 2 and "BroadcastHashJoin" not in plan

@@ -1,5 +1,9 @@
 import io
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +59,27 @@ def test_encoder_forgets_and_goes_on(monkeypatch):
         assert ids.tolist() == [i for x in plain(texts) for i in x]
 
 
+IN_A_WORKER = """
+import os
+import pyarrow as pa
+from quarry.llm import common, queries, tokens
+
+encode, threads = tokens.encoder(queries.tokenizer_path()), len(os.listdir("/proc/self/task"))
+text = " ".join(f"w{k:x}" for k in range(200_000))
+ids, counts = encode(pa.array([text, text[::-1]]))
+assert len(ids) == counts.sum() > 400_000
+print(len(os.listdir("/proc/self/task")) - threads, len(common._POWERS[0]))
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir("/proc/self/task"), reason="threads can't be counted here")
+def test_a_worker_encodes_in_one_thread_and_small_slices():
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": str(Path(tokens.__file__).parents[2])}
+    out = subprocess.run([sys.executable, "-c", IN_A_WORKER], env=env, capture_output=True, text=True, check=True).stdout
+    more_threads, longest = map(int, out.split())
+    assert more_threads == 0 and longest <= (1 << 18) + 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=1500))
 def test_segment_random_access(values):
